@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeflow.llm.common import scratch_path, table
 
@@ -17,7 +18,14 @@ def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
+    "op10_cross_polytope": op10_cross_polytope,
     "op3_token_planes": op3_token_planes,
 }
 
