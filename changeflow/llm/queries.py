@@ -24,7 +24,22 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op6_tree_scoring": op6_tree_scoring,
+    "op9_toxicity": op9_toxicity,
     "op10_cross_polytope": op10_cross_polytope,
     "op3_token_planes": op3_token_planes,
 }
