@@ -37,7 +37,15 @@ def op6_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.jaccard import similar_groups
+
+    groups = similar_groups(table(spark, sf_dir, "documents"), shingle_words=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id", "text_class")
+
+
 QUERIES = {
+    "op7_signature_trees": op7_signature_trees,
     "op6_tree_scoring": op6_tree_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_cross_polytope": op10_cross_polytope,
