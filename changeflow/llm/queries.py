@@ -44,7 +44,14 @@ def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "text_class")
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.substring import deduplicated
+
+    return deduplicated(table(spark, sf_dir, "documents"), window=35)
+
+
 QUERIES = {
+    "op5_recompression": op5_recompression,
     "op7_signature_trees": op7_signature_trees,
     "op6_tree_scoring": op6_tree_scoring,
     "op9_toxicity": op9_toxicity,
