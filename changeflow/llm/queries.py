@@ -50,7 +50,14 @@ def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(table(spark, sf_dir, "documents"), window=35)
 
 
+def op8_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.decontam import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op8_block_max_wand": op8_block_max_wand,
     "op5_recompression": op5_recompression,
     "op7_signature_trees": op7_signature_trees,
     "op6_tree_scoring": op6_tree_scoring,
