@@ -56,7 +56,16 @@ def op8_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from changeflow.llm.sentencepiece import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
+    "op4_streaming_viterbi": op4_streaming_viterbi,
     "op8_block_max_wand": op8_block_max_wand,
     "op5_recompression": op5_recompression,
     "op7_signature_trees": op7_signature_trees,
