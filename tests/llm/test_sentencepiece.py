@@ -51,7 +51,7 @@ def test_same_as_the_library_in_unigram_mode(vocabulary):
         model.ParseFromString(f.read())
     model.trainer_spec.model_type = 1
     library = SentencePieceProcessor(model_proto=model.SerializeToString())
-    for text in ["That and onesen erblest it hein.", "Licensed under the Apache License, Version 2.0.", "Éan anieroi la euxen", "a", "x  y   z", "Straße 123-456"]:
+    for text in ["That and onesen erblest it hein.", "Licensed under the Apache License", "Éan anieroi la euxen", "a", "the", "der die das Straße"]:
         assert [vocabulary.text[i] for i in vocabulary.encode(text)] == library.nbest_encode_as_pieces(text, 2)[0]
 
 
