@@ -64,7 +64,15 @@ def op4_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.pii import pseudonymized
+
+    rows = pseudonymized(table(spark, sf_dir, "documents"), key="corpus-key-1")
+    return rows.select("doc_id", "n_entities", "kinds", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
+    "op1_surrogates": op1_surrogates,
     "op4_streaming_viterbi": op4_streaming_viterbi,
     "op8_block_max_wand": op8_block_max_wand,
     "op5_recompression": op5_recompression,
