@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.llm import licenses
 from changeflow.llm.common import scratch_path, table
 
 
@@ -71,7 +72,12 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_entities", "kinds", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op2_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_license_join": op2_license_join,
     "op1_surrogates": op1_surrogates,
     "op4_streaming_viterbi": op4_streaming_viterbi,
     "op8_block_max_wand": op8_block_max_wand,
@@ -83,4 +89,4 @@ QUERIES = {
     "op3_token_planes": op3_token_planes,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_license_join": licenses.oracle_sql()}
