@@ -13,7 +13,9 @@ Parquet files since Spark commits those atomically on any file system and repeat
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,37 +34,92 @@ CHUNKS = (
 SEGMENTS = "doc_id long, start long, n_tokens long, crc long, part_at long, part binary"
 
 #: A worker keeps this many encoded words, then starts afresh; it bounds memory, not results.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_200_000
+#: Texts of about this many characters are encoded together.
+GROUP_CHARS = 1_000_000
+#: Words of letters encoded in one call.
+LINE_WORDS = 100
 #: Separators of Python's str.split that a tokenizer does not take for white space.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Marks that may end a word.
+_MARKS = ".,!?;:*#&%$\"()[]-"
 _WORKER: dict = {}
 
 
 class WordEncoder:
     """Encodes whole texts with a tokenizer whose words never cross white space, word by word.
 
-    Equal to ``tokenizer.encode(text, add_special_tokens=False)``; repeated words are looked up.
+    Equal to ``tokenizer.encode(text, add_special_tokens=False)``. The tokenizer sees each word once
+    for as long as a worker remembers it. Words are remembered in lower case and without the marks
+    at their end, which such a tokenizer encodes apart; this holds for Latin-1 texts, where lower
+    case and composition go character by character. Any other text is encoded as it is.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives a worker one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Words of letters are encoded many to a call and cut where a token ends a word.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = {i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)} if suffix else set()
         self.memo: dict[str, bytes] = {}
+        self.marked: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
-        if any(c in text for c in _ODD):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        words = text.split()
-        memo = self.memo
-        new = [w for w in set(words) if w not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                memo[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join(map(memo.__getitem__, words)), dtype="<u4")
+        return next(self.encode_many([text]))
+
+    def encode_many(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """New words of all the texts are encoded in one call."""
+        memo, other = self.memo, self.marked
+        split = [text.lower().split() if self._by_word(text) else None for text in texts]
+        looked = [None if words is None else list(map(memo.get, words)) for words in split]
+        self._learn({w for words, found in zip(split, looked, strict=True) if words and None in found for w, x in zip(words, found, strict=True) if x is None})
+        for text, words, found in zip(texts, split, looked, strict=True):
+            if words is None:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+                continue
+            if None in found:
+                found = [memo.get(words[k]) or other.get(words[k], b"") if x is None else x for k, x in enumerate(found)]
+            yield np.frombuffer(b"".join(found), dtype="<u4")
+
+    @staticmethod
+    def _by_word(text: str) -> bool:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return not any(c in text for c in _ODD)
+
+    def _learn(self, words: set[str]) -> None:
+        memo, other = self.memo, self.marked
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        if len(other) > MEMO_WORDS // 4:
+            other.clear()
+        marked, new = {}, list(words)
+        for k, w in enumerate(new):
+            core = w.rstrip(_MARKS)
+            if core and core != w and core.isalpha():
+                new[k] = core
+                if w not in other:
+                    marked[w] = (core, w[len(core) :])
+                    new.append(marked[w][1])
+        new = [w for w in dict.fromkeys(new) if w not in memo]
+        plain, odd = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
+        for at in range(0, len(plain), LINE_WORDS):
+            line = plain[at : at + LINE_WORDS]
+            ids = self.tokenizer.encode(" ".join(line), add_special_tokens=False).ids
+            cuts = [k for k, x in enumerate(ids, 1) if x in self.ends]
+            if len(cuts) == len(line):
+                raw = array("I", ids).tobytes()
+                memo.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(line, [0, *cuts], cuts, strict=False))
+            else:
+                odd += line
+        for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            memo[w] = array("I", e.ids).tobytes()
+        for w, (core, end) in marked.items():
+            other[w] = memo[core] + memo[end]
 
 
 def _word_encoder(path: str) -> WordEncoder:
@@ -91,6 +148,17 @@ def from_planes(parts: list[bytes], n: int) -> np.ndarray:
     return np.ascontiguousarray(octets).view("<u4").reshape(-1)
 
 
+def _encoded(encoder: WordEncoder, texts: pa.StringArray) -> Iterator[np.ndarray]:
+    group, size = [], 0
+    for text in texts:
+        group.append(text.as_py())
+        size += len(group[-1])
+        if size > GROUP_CHARS:
+            yield from encoder.encode_many(group)
+            group, size = [], 0
+    yield from encoder.encode_many(group)
+
+
 def _encode_shards(path: str, end_id: int, block_ids: int, planes: str, level: int):
     schema = pa.schema([
         ("shard", pa.int32()), ("chunk", pa.int32()), ("first_id", pa.int64()), ("n_ids", pa.int32()), ("plane_sizes", pa.list_(pa.int32())),
@@ -117,8 +185,7 @@ def _encode_shards(path: str, end_id: int, block_ids: int, planes: str, level: i
             return pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.encode(text.as_py())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), _encoded(encoder, batch.column(1)), strict=True):
                 held += [ids, end]
                 docs.append((doc_id, position, len(ids) + 1))
                 position += len(ids) + 1
