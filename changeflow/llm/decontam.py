@@ -157,14 +157,9 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.6, least
     are found each, repeated rows are searched each. Empty tables give no rows. The index is
     broadcast; a benchmark of more than ``INDEX_ITEMS`` items is searched in several passes.
     """
-    spark, rows = docs.sparkSession, doc_texts(docs)
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    passes = 1 + max(0, items.count() - 1) // INDEX_ITEMS
     shape = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passages int"
     out = None
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
-        bc = spark.sparkContext.broadcast(Index.build([(r.item_id, r.text) for r in part if words_of(r.text)]))
+    for bc in _indexes(docs.sparkSession, benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], bc=bc) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -174,6 +169,28 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.6, least
                 columns = zip(*found, strict=True) if found else [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int32()], strict=True)], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "passages"])
 
-        one = rows.mapInArrow(run, shape)
+        one = doc_texts(docs).mapInArrow(run, shape)
         out = one if out is None else out.union(one)
     return out
+
+
+def _indexes(spark, benchmark: DataFrame) -> Iterator:
+    """Broadcast indexes of at most about ``INDEX_ITEMS`` items."""
+    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    passes = 1 + max(0, items.count() - 1) // INDEX_ITEMS
+    for k in range(passes):
+        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
+        yield spark.sparkContext.broadcast(Index.build([(r.item_id, r.text) for r in part if words_of(r.text)]))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.6, least_overlap: float = 0.6) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text holds no item; null texts stay."""
+    for bc in _indexes(docs.sparkSession, benchmark):
+
+        def run(batches: Iterator[pa.RecordBatch], bc=bc) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column(batch.schema.names.index("text"))
+                yield batch.filter(pa.array([not contaminated(t.as_py() or "", bc.value, threshold, least_overlap) for t in texts], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import doc_texts, written
+from changeflow.llm.common import written
 
 # Titles that tell a gender, and given names by gender and script.
 TITLES = {"m": "Mr|Herr|Señor|Sr|Monsieur|Господин", "f": "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Госпожа"}
@@ -170,8 +170,21 @@ def pseudonymized(docs: DataFrame, *, key: str) -> DataFrame:
     Null and empty texts come back as empty texts without entities. Repeated rows get the same
     replacements. Null doc_ids are kept. Other columns are not read. An empty table gives no rows.
     """
-    rows = doc_texts(docs).withColumn("found", F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
-    clean = rows.where(F.size("found") == 0).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds"))
+    return _replaced(docs, key).select(F.col("doc.doc_id").cast("long").alias("doc_id"), "text", "n_entities", "kinds")
+
+
+def pseudonymized_documents(docs: DataFrame, *, key: str) -> DataFrame:
+    """The rows of ``docs`` with the entities of ``text`` replaced, and ``n_chars`` set anew where there is one."""
+    rows = _replaced(docs, key)
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return rows.select(*(new[c].alias(c) if c in new else F.col("doc").getField(c).alias(c) for c in docs.columns))
+
+
+def _replaced(docs: DataFrame, key: str) -> DataFrame:
+    """doc (the row as it was), text, n_entities, kinds."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("found", F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
+    clean = rows.where(F.size("found") == 0).select("doc", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds"))
     hit = written(rows.where(F.size("found") > 0).withColumn("row", F.monotonically_increasing_id()), "pii-rows")
     places = hit.select("row", F.posexplode("found").alias("at", "match"))
     places = places.withColumn("kind", kind_of(F.col("match"))).withColumn("name", canonical(F.col("kind"), F.col("match")))
@@ -181,5 +194,5 @@ def pseudonymized(docs: DataFrame, *, key: str) -> DataFrame:
     puts = made.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "put"))), lambda x: x["put"]).alias("puts"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"))
     between = F.split("text", ENTITY, -1)
     text = F.array_join(F.zip_with(between, F.concat("puts", F.array(F.lit(""))), lambda b, p: F.concat(b, p)), "")
-    changed = hit.join(puts, "row").select("doc_id", text.alias("text"), F.size("found").cast("long").alias("n_entities"), "kinds")
+    changed = hit.join(puts, "row").select("doc", text.alias("text"), F.size("found").cast("long").alias("n_entities"), "kinds")
     return clean.union(changed)

@@ -62,7 +62,7 @@ def op4_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from changeflow.llm.sentencepiece import round_trip
 
-    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("ids")
 
 
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

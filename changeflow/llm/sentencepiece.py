@@ -195,7 +195,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """``doc_id, n_ids, ids_crc32, text, text_sha256`` of encoded rows, the text made from the ids alone; null ids are none."""
+    """``doc_id, ids, n_ids, ids_crc32, text, text_sha256`` of encoded rows, the text made from the ids alone; null ids are none."""
     import zlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,19 +206,19 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 ids = [np.array(x.values.to_numpy(zero_copy_only=False) if x.is_valid else [], "<i4") for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array(map(len, ids), pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
+                        part.column(0), part.column(1), pa.array(map(len, ids), pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
                         pa.array([vocabulary.decode(x.tolist()) for x in ids], pa.string()), part.column(2),
                     ],
-                    names=["doc_id", "n_ids", "ids_crc32", "text", "text_sha256"],
+                    names=["doc_id", "ids", "n_ids", "ids_crc32", "text", "text_sha256"],
                 )
 
-    return encoded.select("doc_id", "ids", "text_sha256").mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, text string, text_sha256 string")
+    return encoded.select("doc_id", "ids", "text_sha256").mapInArrow(run, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, text string, text_sha256 string")
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """``doc_id, n_ids, ids_crc32, n_chars, round_trip``: encodes, decodes and says whether the text came back.
+    """``doc_id, ids, n_ids, ids_crc32, n_chars, round_trip``: encodes, decodes and says whether the text came back.
 
     ``round_trip`` is false for texts with U+2581 itself, which the format can't tell from a space.
     """
     decoded = decode(encode(docs, model), model)
-    return decoded.select("doc_id", "n_ids", "ids_crc32", F.char_length("text").cast("long").alias("n_chars"), (F.sha2(F.col("text").cast("binary"), 256) == F.col("text_sha256")).alias("round_trip"))
+    return decoded.select("doc_id", "ids", "n_ids", "ids_crc32", F.char_length("text").cast("long").alias("n_chars"), (F.sha2(F.col("text").cast("binary"), 256) == F.col("text_sha256")).alias("round_trip"))

@@ -294,3 +294,18 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> D
         curve = F.when(F.col("raw") <= x1, F.lit(y1) if x1 == x0 else F.lit(y0) + (F.col("raw") - x0) * ((y1 - y0) / (x1 - x0))).otherwise(curve)
     scored = raw.withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), curve)))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def clean_documents(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores below ``threshold``; null texts stay."""
+    bc = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = None
+        for batch in batches:
+            if scorer is None:
+                scorer = _Scorer(bc.value.weights, bc.value.grams)
+            texts = batch.column(batch.schema.names.index("text"))
+            yield batch.filter(pa.array([bc.value.calibrated(scorer.raw(t.as_py() or "")) < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,4 +1,74 @@
-STAGES = []
+"""A corpus pipeline over ``documents``: each stage works on all rows that the one before kept.
+
+toxicity: documents that the model rejects go. ngram_join: of each group of near duplicates (five
+words, similarity 0.8) the document with the smallest doc_id stays. decontamination: documents with
+a benchmark item go. pii: entities are replaced by surrogates. sentencepiece: texts become ids.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from changeflow.llm.common import scratch_path, table, written
+from changeflow.llm.decontam import clean_documents as without_benchmark
+from changeflow.llm.jaccard import FEW, similar_groups
+from changeflow.llm.pii import pseudonymized_documents
+from changeflow.llm.sentencepiece import round_trip
+from changeflow.llm.toxicity import clean_documents as without_toxic
+from changeflow.llm.toxicity import train
+
+KEY = "corpus-key-1"
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a doc_id stay; a doc_id that comes more than once is kept once."""
+    groups = written(similar_groups(docs, shingle_words=5, percent=80).select("doc_id", "component_id"), "pipeline-groups")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    few = gone.count() <= FEW
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pseudonymized_documents(docs, key=KEY)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("ngram_join", ngram_join),
+    ("decontamination", decontamination),
+    ("pii", pii),
+    ("sentencepiece", sentencepiece),
+]
+
+#: A trained model and character paths are no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, ids, n_ids, ids_crc32, n_chars, round_trip`` of the documents that all stages keep."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
