@@ -1 +1,326 @@
+"""One query for each operator, on tables and feeds; ``oracles`` has their DuckDB counterparts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from changeflow.functions.columns import hash_name, hive_path_segment, to_u256, u256_to_text
+from changeflow.operators.layout import partition_counts
+from changeflow.operators.messages import message_batches, render_relational, route, route_runs, row_to_json, to_log_records
+from changeflow.operators.progress import catalog_diff, dedupe_replay, merge_positions, positions, prune_versions, schema_asof
+from changeflow.operators.state import apply_changes, change_counts, first_by_key, latest_by_key, retract_agg
+from changeflow.plans.feeds import FULL_ORDERS, ORDERS, changes, envelope
+from changeflow.sources.changes import align_by_name, changes_for, coerce, normalize_changes, snapshot_rows, to_text, unclaimed_tables, with_snapshot
+from changeflow.sources.envelope import decode_json, from_position, malformed_rows, select_streams
+from changeflow.sources.envelope import envelope as raw_envelope
+
+EVENT = "event_id:int64,user_id:int64,event_type:string?"
 QUERIES = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last good record of each user, decoded from the log."""
+    rows = decode_json(envelope(spark, sf_dir), EVENT, on_malformed="skip", include_metadata=True)
+    return latest_by_key(rows, ["user_id"], order=("_timestamp", "event_id"))
+
+
+@query
+def envelope_raw(spark, sf_dir):
+    return raw_envelope(envelope(spark, sf_dir)).select(F.col("_op").alias("op"), "stream", "seq_num", "timestamp", "headers", "body")
+
+
+@query
+def restore_op(spark, sf_dir):
+    return raw_envelope(envelope(spark, sf_dir)).groupBy(F.col("_op").alias("op")).agg(F.count("*").alias("n_rows"))
+
+
+@query
+def stream_exact(spark, sf_dir):
+    return select_streams(envelope(spark, sf_dir), streams=" events/click, events/view,events/click").select("stream", "seq_num", "event_id")
+
+
+@query
+def stream_prefix(spark, sf_dir):
+    return select_streams(envelope(spark, sf_dir), stream_prefix="events/p").select("stream", "seq_num", "event_id")
+
+
+@query
+def resume_positions(spark, sf_dir):
+    log = envelope(spark, sf_dir)
+    saved = log.where("stream <> 'events/click'").groupBy("stream").agg(F.floor(F.count("*") / 2).alias("next_seq"))
+    return from_position(log, saved).select("stream", "seq_num")
+
+
+@query
+def resume_latest(spark, sf_dir):
+    log = envelope(spark, sf_dir)
+    saved = log.where("stream = 'events/click'").groupBy("stream").agg(F.floor(F.count("*") / 2).alias("next_seq"))
+    return from_position(log, saved, start_position="latest").select("stream", "seq_num")
+
+
+@query
+def decode_skip(spark, sf_dir):
+    return decode_json(envelope(spark, sf_dir), EVENT, on_malformed="skip").withColumnRenamed("_op", "op")
+
+
+@query
+def decode_metadata(spark, sf_dir):
+    rows = decode_json(envelope(spark, sf_dir), "event_id:int64,user_id:string", include_metadata=True, on_malformed="skip")
+    return rows.select(F.col("_op").alias("op"), "event_id", "user_id", F.col("_stream").alias("stream"), F.col("_seq_num").alias("seq_num"), F.col("_timestamp").alias("at"))
+
+
+@query
+def malformed_report(spark, sf_dir):
+    return malformed_rows(envelope(spark, sf_dir), EVENT).groupBy("stream").agg(F.count("*").alias("n_rows"), F.min("seq_num").alias("first_seq"))
+
+
+@query
+def headers_json(spark, sf_dir):
+    return raw_envelope(envelope(spark, sf_dir, more_headers=True)).select("stream", "seq_num", "headers")
+
+
+@query
+def table_demux(spark, sf_dir):
+    return changes_for(changes(spark, sf_dir), "customer").select("k", "lsn", "kind")
+
+
+@query
+def unclaimed(spark, sf_dir):
+    return unclaimed_tables(changes(spark, sf_dir), ["orders"])
+
+
+def _orders(spark, sf_dir, **options) -> DataFrame:
+    rows = normalize_changes(changes_for(changes(spark, sf_dir), "orders"), ORDERS, keys=["k"], **options)
+    return rows.withColumnRenamed("_op", "op") if options.pop("renamed", False) else rows
+
+
+def _shown(rows: DataFrame) -> DataFrame:
+    return rows.withColumnRenamed("_op", "op").drop("ord")
+
+
+@query
+def normalized(spark, sf_dir):
+    return _shown(_orders(spark, sf_dir)).drop("seq")
+
+
+@query
+def update_before(spark, sf_dir):
+    return _shown(_orders(spark, sf_dir, emit_update_before=True))
+
+
+@query
+def key_only_delete(spark, sf_dir):
+    return _shown(_orders(spark, sf_dir).where("_op = 'd'")).select("k", "status", "price")
+
+
+@query
+def partial_update(spark, sf_dir):
+    """Images of every third order lack the status, as unchanged large values do."""
+    events = changes_for(changes(spark, sf_dir), "orders").where("kind in ('insert', 'copy', 'update')")
+    partial = events.withColumn("new", F.when(F.col("k") % 3 == 0, F.map_filter("new", lambda k, v: k != "status")).otherwise(F.col("new")))
+    return _shown(normalize_changes(partial, ORDERS, keys=["k"])).drop("seq")
+
+
+@query
+def aligned(spark, sf_dir):
+    wanted = T.StructType.fromDDL("o_orderstatus string, o_missing int, o_orderkey long")
+    return align_by_name(_table(spark, sf_dir, "orders"), wanted)
+
+
+@query
+def coerced_cells(spark, sf_dir):
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_custkey").cast("int").alias("custkey"), F.col("o_orderkey").cast("string").alias("key_text"))
+    return coerce(rows, T.StructType.fromDDL("o_orderkey string, status long, custkey long, key_text long"))
+
+
+@query
+def cell_texts(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").select(
+        "event_id", "ts", F.to_date("ts").alias("day"), F.col("value").cast("decimal(18,2)").alias("amount"), F.col("event_type").cast("binary").alias("raw"), F.array("event_id", F.lit(None).cast("long")).alias("list")
+    )
+    return to_text(rows, ["ts", "day", "amount", "raw", "list"])
+
+
+@query
+def snapshot_plus_changes(spark, sf_dir):
+    live = _orders(spark, sf_dir).where("_op <> 'i'").select("_op", "lsn", "ord", "k", "status")
+    old = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    return with_snapshot(snapshot_rows(old, ["k", "status"]), live).withColumnRenamed("_op", "op")
+
+
+@query
+def current_state(spark, sf_dir):
+    return _shown(latest_by_key(_orders(spark, sf_dir), ["k"])).drop("seq")
+
+
+@query
+def first_write_wins(spark, sf_dir):
+    again = _orders(spark, sf_dir).where("_op = 'i' and k % 10 = 0").withColumns({"lsn": F.col("lsn") + 5, "status": F.lit("A")})
+    return _shown(first_by_key(_orders(spark, sf_dir).union(again), ["k"])).drop("seq")
+
+
+@query
+def retraction_totals(spark, sf_dir):
+    rows = normalize_changes(changes(spark, sf_dir, full=True), FULL_ORDERS, keys=["k"], emit_update_before=True)
+    return retract_agg(rows, ["status"], ["price"])
+
+
+@query
+def op_counts(spark, sf_dir):
+    return change_counts(_orders(spark, sf_dir).withColumn("part", F.col("k") % 8), ("part",))
+
+
+def _target(spark, sf_dir) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0")
+    return orders.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"), F.lit("OLD").alias("status"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+
+
+@query
+def apply_upsert(spark, sf_dir):
+    return apply_changes(_target(spark, sf_dir), _orders(spark, sf_dir), ["k"])
+
+
+@query
+def apply_ignore(spark, sf_dir):
+    return apply_changes(_target(spark, sf_dir), _orders(spark, sf_dir).where("_op <> 'd'"), ["k"], on_conflict="nothing")
+
+
+@query
+def apply_delete(spark, sf_dir):
+    return apply_changes(_target(spark, sf_dir), _orders(spark, sf_dir).where("_op = 'd'"), ["k"])
+
+
+@query
+def append_without_keys(spark, sf_dir):
+    return apply_changes(_target(spark, sf_dir), _orders(spark, sf_dir).where("_op = 'u'"), [])
+
+
+@query
+def hive_segment(spark, sf_dir):
+    parts = _table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 10 != 0, F.col("p_name")).alias("name"), F.concat(F.lit("foo/bar=baz*~ +é"), F.col("p_partkey").cast("string")).alias("odd"))
+    return parts.select("p_partkey", hive_path_segment(["odd", "name"]).alias("segment"))
+
+
+@query
+def layout_counts(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 10 != 0, F.col("event_type")).alias("event_type"), F.to_date("ts").alias("day"))
+    return partition_counts(rows, ["event_type", "day"])
+
+
+@query
+def sql_filter(spark, sf_dir):
+    """A SQL step between source and sink; the operation column goes along."""
+    rows = decode_json(envelope(spark, sf_dir), EVENT, on_malformed="skip").withColumnRenamed("_op", "op")
+    return spark.sql("select * from {log} where event_id is not null and event_id % 2 = 0", log=rows)
+
+
+@query
+def row_json(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type"), F.col("user_id"))
+    return row_to_json(rows)
+
+
+@query
+def relational_cells(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, F.date_trunc("second", "ts").cast("timestamp_ntz")).otherwise(F.col("ts")).alias("at"), F.to_date("ts").alias("day"), F.col("value").cast("decimal(18,2)").alias("amount"))
+    return render_relational(rows)
+
+
+@query
+def log_records(spark, sf_dir):
+    rows = _shown(_orders(spark, sf_dir)).select("op", "k", "status", "lsn")
+    records = to_log_records(rows, stream="orders", op_col="op")
+    return records.select("stream", records.headers[0]["key"].alias("header"), records.headers[0]["value"].alias("code"), "body")
+
+
+@query
+def routed(spark, sf_dir):
+    return route(_table(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), "events/{event_type}/by-{user_id}")
+
+
+@query
+def stream_runs(spark, sf_dir):
+    """Runs of neighbouring records of one stream, in each user's sequence."""
+    rows = envelope(spark, sf_dir).select("stream", "event_id", (F.col("event_id") % 997).alias("source"))
+    return route_runs(rows, order=("event_id",), by=("source",))
+
+
+@query
+def batched_messages(spark, sf_dir):
+    """Ten to a batch; users are the unit that keeps an order."""
+    rows = _table(spark, sf_dir, "events").select("user_id", "event_id")
+    return message_batches(rows, 10, by="user_id", order=("event_id",)).select("user_id", "batch", F.size("bodies").cast("long").alias("n_messages"), F.array_join("bodies", "|").alias("bodies"))
+
+
+@query
+def u256_text(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").select("event_id", F.lpad(F.hex("event_id"), 64, "0").alias("digits"))
+    large = F.concat(F.lit("f" * 32), F.substring("digits", 33, 32))
+    rows = rows.select("event_id", F.when(F.col("event_id") % 2 == 0, F.unhex("digits")).otherwise(F.unhex(large)).alias("value"))
+    text = rows.select("event_id", u256_to_text(F.col("value")).alias("text"))
+    return text.select("event_id", F.when(F.col("event_id") % 2 == 0, F.col("text")).otherwise(F.length("text").cast("string")).alias("text"))
+
+
+@query
+def u256_round_trip(spark, sf_dir):
+    text = F.concat(F.lit("1157920892373161954235709850086879078532699846656405640394575840079131296"), F.lpad(F.col("event_id").cast("string"), 5, "0"))
+    rows = _table(spark, sf_dir, "events").select("event_id", text.alias("text"))
+    return rows.withColumn("raw", to_u256(F.col("text"))).select("event_id", "text", u256_to_text(F.col("raw")).alias("back"))
+
+
+@query
+def hashed_names(spark, sf_dir):
+    return _table(spark, sf_dir, "part").select("p_partkey", hash_name(F.col("p_name")).cast("string").alias("id"))
+
+
+@query
+def next_positions(spark, sf_dir):
+    return positions(envelope(spark, sf_dir))
+
+
+@query
+def progress_merge(spark, sf_dir):
+    log = envelope(spark, sf_dir)
+    old = positions(log.where("event_id % 2 = 0 and stream <> 'events/click'").withColumn("seq_num", F.col("seq_num") + F.when(F.col("stream") == "events/view", 100000).otherwise(-3)))
+    return merge_positions(old, positions(log))
+
+
+@query
+def stream_catalog_diff(spark, sf_dir):
+    log = envelope(spark, sf_dir)
+    listed = log.select("stream", (F.col("stream") == "events/view").alias("deleted"))
+    known = log.where("stream in ('events/click', 'events/view')").select(F.explode(F.array("stream", F.concat("stream", F.lit("-gone")), F.lit("events/pinned"))).alias("stream"))
+    return catalog_diff(listed, known, ("events/pinned",))
+
+
+def _versions(spark, sf_dir) -> DataFrame:
+    """Schema versions at the first order of every customer that is a multiple of 50."""
+    orders = _table(spark, sf_dir, "orders").where("o_custkey % 50 = 0")
+    return orders.groupBy("o_custkey").agg((F.min("o_orderkey") * 10).alias("snapshot_id")).select(F.lit("public.orders").alias("tbl"), "snapshot_id")
+
+
+@query
+def versions_asof(spark, sf_dir):
+    return schema_asof(changes(spark, sf_dir).select("tbl", "k", "lsn", "kind"), _versions(spark, sf_dir))
+
+
+@query
+def versions_pruned(spark, sf_dir):
+    return prune_versions(_versions(spark, sf_dir), 5000)
+
+
+@query
+def deduped_replay(spark, sf_dir):
+    log = envelope(spark, sf_dir)
+    return dedupe_replay(log.union(log.where("seq_num % 3 = 0"))).select("stream", "seq_num", "event_id")
