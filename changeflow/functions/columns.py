@@ -1,7 +1,6 @@
 """Column expressions: operations, headers, text forms, 256-bit numbers and path segments."""
 
-from __future__ import annotations
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,11 +75,8 @@ def hive_path_segment(columns: list[str]) -> Column:
     return F.concat_ws("/", *parts)
 
 
-@F.pandas_udf(T.BinaryType())
-def _u256(text):
-    def one(s):
-        if s is None:
-            return None
+def _u256(text: pd.Series) -> pd.Series:
+    def one(s: str) -> bytes:
         n = int(s)
         if not 0 <= n < 1 << 256:
             raise ValueError(f"not an unsigned 256-bit number: {s}")
@@ -91,7 +87,7 @@ def _u256(text):
 
 def to_u256(text: Column) -> Column:
     """A decimal text as 32 bytes, big-endian; numbers below 0 or beyond 2**256 - 1 are errors."""
-    return _u256(text)
+    return F.pandas_udf(_u256, T.BinaryType())(text)
 
 
 def u256_to_text(value: Column) -> Column:
@@ -124,7 +120,7 @@ def cell_text(name: str, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampNTZType):
         return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     if isinstance(kind, T.TimestampType):
-        return F.concat(F.date_format(F.convert_timezone(F.lit("UTC"), c.cast("timestamp_ntz"), sourceTz=F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+        return F.concat(F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(c, {"ignoreNullFields": "false"})
     return c.cast("string")

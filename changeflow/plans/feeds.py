@@ -66,8 +66,9 @@ def changes(spark: SparkSession, sf_dir: str, *, full: bool = False) -> DataFram
     )
 
 
-ORDERS = T.StructType.fromDDL("k long, custkey long, status string, price decimal(18,2)")
-FULL_ORDERS = T.StructType.fromDDL("k long, status string, price decimal(18,2)")
+_STATUS, _PRICE = T.StructField("status", T.StringType()), T.StructField("price", T.DecimalType(18, 2))
+ORDERS = T.StructType([T.StructField("k", T.LongType()), T.StructField("custkey", T.LongType()), _STATUS, _PRICE])
+FULL_ORDERS = T.StructType([T.StructField("k", T.LongType()), _STATUS, _PRICE])
 
 
 def envelope(spark: SparkSession, sf_dir: str, *, more_headers: bool = False) -> DataFrame:

@@ -134,7 +134,7 @@ def partial_update(spark, sf_dir):
 
 @query
 def aligned(spark, sf_dir):
-    wanted = T.StructType.fromDDL("o_orderstatus string, o_missing int, o_orderkey long")
+    wanted = T.StructType([T.StructField("o_orderstatus", T.StringType()), T.StructField("o_missing", T.IntegerType()), T.StructField("o_orderkey", T.LongType())])
     return align_by_name(_table(spark, sf_dir, "orders"), wanted)
 
 

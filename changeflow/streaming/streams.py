@@ -11,7 +11,11 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from changeflow.operators.state import ORDER, apply_changes
 
-RECORD = T.StructType.fromDDL("seq_num long, timestamp long, headers array<struct<key:string,value:string>>, body binary, stream string")
+HEADER = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
+RECORD = T.StructType([
+    T.StructField("seq_num", T.LongType()), T.StructField("timestamp", T.LongType()), T.StructField("headers", T.ArrayType(HEADER)),
+    T.StructField("body", T.BinaryType()), T.StructField("stream", T.StringType()),
+])
 
 
 def read_log_stream(spark: SparkSession, path: str, *, schema: T.StructType = RECORD, files_per_batch: int | None = None) -> DataFrame:

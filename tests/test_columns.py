@@ -1,0 +1,102 @@
+import datetime as dt
+import hashlib
+from decimal import Decimal
+
+import pytest
+from changeflow.functions import columns as C
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+HEADERS = "array<struct<key:string,value:string>>"
+
+
+def one(spark, expression, ddl="x string", row=(None,)):
+    return spark.createDataFrame([row], ddl).select(expression.alias("v")).first().v
+
+
+@pytest.mark.parametrize("code,op", [(None, "i"), ("c", "i"), ("r", "i"), ("u", "u"), ("d", "d"), ("bogus", "i")])
+def test_restore_op(spark, code, op):
+    headers = [] if code is None else [("dbz.op", code), ("dbz.op", "d"), ("k", "1")]
+    assert one(spark, C.restore_op(C.header_value(F.col("h"), "dbz.op")), f"h {HEADERS}", (headers,)) == op
+
+
+def test_encode_op(spark):
+    assert [one(spark, C.encode_op(F.col("x")), row=(o,)) for o in "iud"] == ["c", "u", "d"]
+    for bad in (None, "x"):
+        with pytest.raises(PySparkException):
+            one(spark, C.encode_op(F.col("x")), row=(bad,))
+    with pytest.raises(ValueError):
+        C.require_op(spark.range(1))
+
+
+def test_headers_json(spark):
+    f = C.headers_json(F.col("h"))
+    assert one(spark, f, f"h {HEADERS}", ([("k", "1"), ("a", "x"), ("k", "2")],)) == '{"a":"x","k":"2"}'
+    assert one(spark, f, f"h {HEADERS}", ([],)) is None and one(spark, f, f"h {HEADERS}", (None,)) is None
+
+
+def test_text_and_time(spark):
+    assert one(spark, C.lossy_utf8(F.col("b")), "b binary", (bytearray(b"ab\xffc"),)) == "ab�c"
+    late = one(spark, C.clamp_timestamp(F.col("m")).cast("string"), "m decimal(20,0)", (Decimal(2**64 - 1),))
+    assert late == "9999-12-31 23:59:59.999"
+    assert one(spark, C.clamp_timestamp(F.col("m")).cast("string"), "m long", (1700000000000,)) == "2023-11-14 22:13:20"
+
+
+def test_hash_name(spark):
+    want = int.from_bytes(hashlib.sha256(b"slot").digest()[:8], "big")
+    assert int(one(spark, C.hash_name(F.lit("slot")))) == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 12345678901234567890, 10**9, 10**18 + 1, 2**32, 2**255 + 12345, 2**256 - 1])
+def test_u256(spark, n):
+    raw = spark.createDataFrame([(str(n),)], "t string").withColumn("raw", C.to_u256(F.col("t")))
+    row = raw.select("raw", C.u256_to_text(F.col("raw")).alias("back")).first()
+    assert bytes(row.raw) == n.to_bytes(32, "big") and row.back == str(n)
+
+
+def test_u256_bounds(spark):
+    assert one(spark, C.to_u256(F.col("x"))) is None
+    assert one(spark, C.u256_to_text(F.col("b")), "b binary") is None
+    for bad in ("-1", str(2**256), "1.5"):
+        with pytest.raises(PySparkException):
+            one(spark, C.to_u256(F.col("x")), row=(bad,))
+
+
+def test_hive_segment(spark):
+    f = C.hive_path_segment(["a", "b"])
+    assert one(spark, f, "b string, a string", ("x y*~+", "foo/bar=baz")) == "a=foo%2Fbar%3Dbaz/b=x%20y%2A~%2B"
+    assert one(spark, f, "b string, a string", (None, "")) == "a=/b=__HIVE_DEFAULT_PARTITION__"
+    assert one(spark, C.hive_path_segment(["d"]), "d date", (dt.date(2024, 1, 2),)) == "d=2024-01-02"
+
+
+def test_cell_text(spark):
+    cells = [
+        ("x decimal(10,2)", 5, "5.00"), ("x binary", bytearray(b"ab"), "YWI="), ("x date", dt.date(2024, 1, 2), "2024-01-02"),
+        ("x timestamp_ntz", dt.datetime(2024, 1, 2, 3, 4, 5, 600), "2024-01-02T03:04:05.000600"), ("x array<long>", [1, None], "[1,null]"), ("x string", None, None),
+    ]
+    for ddl, value, want in cells:
+        value = Decimal(value) if "decimal" in ddl else value
+        kind = T.StructType.fromDDL(ddl)[0].dataType
+        assert one(spark, C.cell_text("x", kind), ddl, (value,)) == want
+    at = spark.sql("select timestamp '2024-01-02 03:04:05.000600+00:00' as x").select(C.cell_text("x", T.TimestampType()).alias("v")).first().v
+    assert at == "2024-01-02T03:04:05.000600+00:00"
+
+
+def test_relational_cell(spark):
+    kind = T.TimestampNTZType()
+    assert one(spark, C.relational_cell("x", kind), "x timestamp_ntz", (dt.datetime(1969, 12, 31, 23, 59, 59, 500000),)) == "1969-12-31 23:59:59.500000"
+    assert one(spark, C.relational_cell("x", kind), "x timestamp_ntz", (dt.datetime(2024, 1, 1),)) == "2024-01-01 00:00:00"
+    assert one(spark, C.relational_cell("x", T.DecimalType(10, 2)), "x decimal(10,2)", (Decimal("12.34"),)) == "12.34"
+
+
+def test_route(spark):
+    f = C.route_name("events/{tenant}", ["tenant"])
+    assert one(spark, f, "tenant string", ("acme",)) == "events/acme"
+    for bad in (None, "acme/evil"):
+        with pytest.raises(PySparkException):
+            one(spark, f, "tenant string", (bad,))
+    with pytest.raises(PySparkException):
+        one(spark, C.route_name("{tenant}", ["tenant"]), "tenant string", (".",))
+    with pytest.raises(ValueError):
+        C.route_name("{nope}", ["tenant"])
