@@ -139,33 +139,68 @@ def _pack(h1: np.ndarray, h2: np.ndarray, keys: np.ndarray, places: np.ndarray,
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * 5, types, strict=True)], names=["bucket", "h1", "h2", "keys", "places"])
 
 
-def _repeats(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(key, places) of a bucket's entries whose hash is there more than once."""
+def _repeats(targets: int):
+    """Places of a bucket's entries whose hash is there more than once, packed for each target bucket of texts."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = np.frombuffer(b"".join(pdf["keys"]), "i8")
+        places = np.frombuffer(b"".join(pdf["places"]), "i4")
+        if pdf["bucket"].iloc[0] >= 0:
+            h1, h2 = np.frombuffer(b"".join(pdf["h1"]), "u8"), np.frombuffer(b"".join(pdf["h2"]), "u8")
+            order = np.lexsort((h2, h1))
+            h1, h2, keys, places = h1[order], h2[order], keys[order], places[order]
+            starts = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
+            sizes = np.diff(np.append(starts, len(h1)))
+            keep = np.repeat(sizes > 1, sizes) & (places >= 0)
+            keys, places = keys[keep], places[keep]
+        target = keys % targets
+        order = np.argsort(target, kind="stable")
+        keys, places = keys[order], places[order]
+        found, first = np.unique(target[order], return_index=True)
+        ends = np.append(first[1:], len(keys))
+        cut = [slice(s, e) for s, e in zip(first, ends, strict=False)]
+        return pd.DataFrame({"target": found, "keys": [keys[c].tobytes() for c in cut], "places": [places[c].tobytes() for c in cut]})
+
+    return run
+
+
+def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(key, places): one row for each text of a target bucket."""
     keys = np.frombuffer(b"".join(pdf["keys"]), "i8")
     places = np.frombuffer(b"".join(pdf["places"]), "i4")
-    if pdf["bucket"].iloc[0] >= 0:
-        h1, h2 = np.frombuffer(b"".join(pdf["h1"]), "u8"), np.frombuffer(b"".join(pdf["h2"]), "u8")
-        order = np.lexsort((h2, h1))
-        h1, h2, keys, places = h1[order], h2[order], keys[order], places[order]
-        starts = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
-        sizes = np.diff(np.append(starts, len(h1)))
-        keep = np.repeat(sizes > 1, sizes) & (places >= 0)
-        keys, places = keys[keep], places[keep]
     order = np.argsort(keys, kind="stable")
     keys, places = keys[order], places[order]
     found, first = np.unique(keys, return_index=True)
-    return pd.DataFrame({"key": found, "places": [places[s:e].tobytes() for s, e in zip(first, [*first[1:], len(keys)], strict=False)]})
+    ends = np.append(first[1:], len(keys))
+    return pd.DataFrame({"key": found, "places": [places[s:e].tobytes() for s, e in zip(first, ends, strict=False)]})
+
+
+def _by_text(entries: DataFrame, buckets: int) -> DataFrame:
+    """(key, places) of all texts with a repeated hash."""
+    repeats = entries.groupBy("bucket").applyInPandas(_repeats(buckets), "target long, keys binary, places binary")
+    return repeats.groupBy("target").applyInPandas(_gathered, "key long, places binary")
 
 
 def _slices(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[list[tuple]]:
-    """(key, words, other columns) of texts long enough for a window, some at a time."""
+    """(key, words, other column) of texts long enough for a window, some at a time.
+
+    Batches have a row's text, the keys it may have or may not have, and what goes with it.
+    """
     for batch in batches:
         part, size = [], 0
-        for row in zip(*(c for c in batch.columns), strict=True):
-            words = row[1].as_py().encode("utf-8", "surrogatepass").split()
-            if len(words) >= window and (key := _text_key(words)) == row[0].as_py():
-                part.append((key, words, *row[2:]))
-                size += len(words)
+        only, but = ("only" in batch.schema.names), ("but" in batch.schema.names)
+        marks = batch.column("only" if only else "but") if only or but else None
+        extra = batch.column("places") if "places" in batch.schema.names else None
+        for k, text in enumerate(batch.column("text")):
+            words = text.as_py().encode("utf-8", "surrogatepass").split()
+            if len(words) < window:
+                continue
+            key = _text_key(words)
+            mark = marks[k].as_py() if marks is not None else None
+            if (only and key != mark) or (but and mark and key in mark):
+                continue
+            part.append((key, words) if extra is None else (key, words, extra[k].as_py()))
+            size += len(words)
             if len(part) >= SLICE or size > 1_000_000:
                 yield part
                 part, size = [], 0
@@ -174,7 +209,7 @@ def _slices(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[list[tup
 
 
 def _symbols(window: int, buckets: int):
-    """(key, text) to packed names of long symbols; a text with windows that have none is named by place -2."""
+    """Texts to packed names of long symbols; a text with windows that have none is named by place -2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches, window):
@@ -195,14 +230,14 @@ def _symbols(window: int, buckets: int):
 
 
 def _windows(window: int, buckets: int):
-    """(key, text, shared) to packed hashes of candidate windows."""
+    """Texts with the places of shared symbols to packed hashes of candidate windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches, window):
             one, two, keys, places = [], [], [], []
             for key, words, shared in part:
                 h = word_hashes(words)
-                at = np.concatenate([np.frombuffer(x, "i4") for x in shared.as_py()])
+                at = np.frombuffer(shared, "i4")
                 starts = Parse(h).candidates(window, at[at >= 0])
                 a, b = window_hashes(h, starts, window)
                 one.append(a)
@@ -226,7 +261,7 @@ def _kept(window: int):
         for part in _slices(batches, window):
             rows = []
             for key, words, places in part:
-                gone = covered(len(words), np.concatenate([np.frombuffer(x, "i4") for x in places.as_py()]), window)
+                gone = covered(len(words), np.frombuffer(places, "i4"), window)
                 kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
                 rows.append((key, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept))
             key, n, sha, kept = zip(*rows, strict=True)
@@ -235,10 +270,15 @@ def _kept(window: int):
     return run
 
 
-def _picked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, text, ...) of the wanted (doc_id, key, ...) rows; these are broadcast only where they are few."""
-    few = wanted.count() <= 500_000  # 12 MB of ids and keys
-    return docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("key", "text", *(c for c in wanted.columns if c not in ("doc_id", "key")))
+def _with_places(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text, only, places) of the wanted (doc_id, key, places) rows.
+
+    Texts are narrowed down by id first; ids and keys are broadcast only where they are few.
+    """
+    ids = wanted.select("doc_id", F.col("key").alias("only"))
+    few = ids.count() <= 500_000  # 12 MB
+    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id").select("text", "only")
+    return texts.join(wanted.select(F.col("key").alias("only"), "places"), "only")
 
 
 def repeated_windows(docs: DataFrame, *, window: int = 35) -> tuple[DataFrame, DataFrame]:
@@ -253,17 +293,19 @@ def repeated_windows(docs: DataFrame, *, window: int = 35) -> tuple[DataFrame, D
     words = reps.agg(F.sum("n_words")).first()[0] or 0
     buckets = 1 + int(words * 0.11) // BUCKET
 
-    entries = _picked(docs, reps.select("doc_id", "key")).mapInArrow(_symbols(window, buckets), PACKED)
-    shared = written(entries.groupBy("bucket").applyInPandas(_repeats, "key long, places binary"), "substring-symbols").groupBy("key").agg(F.collect_list("places").alias("places"))
-    touched = written(shared.join(reps.select("doc_id", "key"), "key").select("doc_id", "key", "places"), "substring-touched")
-    texts = _picked(docs, touched.select("doc_id", "key")).distinct().join(touched.select("key", "places"), "key").select("key", "text", "places")
+    # Rows whose words another row with a smaller id has.
+    copied = long.select("doc_id", "key").join(reps.select("key", F.col("doc_id").alias("rep")), "key").where("doc_id <> rep")
+    copied = written(copied.groupBy("doc_id").agg(F.collect_set("key").alias("but")), "substring-copies")
+    few = copied.count() <= 500_000
+    texts = docs.where("doc_id is not null").join(F.broadcast(copied) if few else copied, "doc_id", "left").select("text", "but")
+    entries = texts.mapInArrow(_symbols(window, buckets), PACKED)
+    touched = written(_by_text(entries, buckets).join(reps.select("doc_id", "key"), "key").select("doc_id", "key", "places"), "substring-touched")
+    texts = _with_places(docs, touched)
     buckets = 1 + int(words * 0.3) // BUCKET
-    found = texts.mapInArrow(_windows(window, buckets), PACKED).groupBy("bucket").applyInPandas(_repeats, "key long, places binary")
-    repeated = written(found, "substring-windows").groupBy("key").agg(F.collect_list("places").alias("places"))
+    repeated = _by_text(texts.mapInArrow(_windows(window, buckets), PACKED), buckets)
     # A text with copies is gone whole; it only had to be there for others.
     hit = written(repeated.join(reps.where("copies = 1").select("doc_id", "key"), "key").select("doc_id", "key", "places"), "substring-hit")
-    again = _picked(docs, hit.select("doc_id", "key")).join(hit.select("key", "places"), "key").select("key", "text", "places")
-    kept = again.mapInArrow(_kept(window), "key long, removed long, kept_sha string, kept string")
+    kept = _with_places(docs, hit).mapInArrow(_kept(window), "key long, removed long, kept_sha string, kept string")
     copies = reps.where("copies > 1").select("key", F.col("n_words").alias("removed"), F.lit(_EMPTY).alias("kept_sha"), F.lit("").alias("kept"))
     return sketches, kept.union(copies)
 
