@@ -145,3 +145,19 @@ def test_versions(spark):
     assert rows(schema_asof(asked, versions)) == [("none", 9, None), ("t", 250, 200), ("t", 300, 300), ("t", 50, None)]
     assert rows(prune_versions(versions, 250)) == [("t", 200), ("t", 300), ("u", 500)]
     assert prune_versions(versions, 10).count() == 4
+
+
+def test_relational(spark):
+    from changeflow.operators.relational import last_operations, merge_statements, stage
+
+    gone, put = merge_statements("t", "s", ["id", "v"], ["id"])
+    assert gone == "DELETE t FROM `t` t JOIN `s` s ON t.`id` = s.`id` WHERE s.`_op` = 'd'"
+    assert put == "INSERT INTO `t` (`id`, `v`) SELECT `id`, `v` FROM `s` s WHERE s.`_op` <> 'd' ON DUPLICATE KEY UPDATE `v` = VALUES(`v`)"
+    assert merge_statements("t", "s", ["id", "v"], ["id"], on_conflict="nothing")[1].endswith("UPDATE `id` = `t`.`id`")
+    for bad in ({"keys": []}, {"keys": ["id"], "on_conflict": "x"}):
+        with pytest.raises(ValueError):
+            merge_statements("t", "s", ["id"], **bad)
+    with pytest.raises(ValueError):
+        stage(spark.range(1), "jdbc:none", "s", batch_size=0)
+    df = spark.createDataFrame(ROWS, CHANGE)
+    assert rows(last_operations(df, ["id"]).select("id", "_op", "v")) == [(1, "u", "c"), (2, "d", None), (3, "i", "q")]
