@@ -43,6 +43,8 @@ class Pieces:
         self.unknown = sp.unk_id()
         self.longest = max(map(len, self.score), default=1)
         self.starts = {p[:k] for p in self.score for k in range(1, len(p) + 1)}
+        #: Every beginning of a piece; those that are pieces have their score and id.
+        self.known = {p: self.score.get(p) for p in self.starts}
         #: Neighbouring characters within a piece: between any others all paths have a boundary.
         self.joined = {p[k : k + 2] for p in self.score for k in range(len(p) - 1)}
         self.by_chunk = not any(x[1] == SPACE and x[0] != SPACE or "\n" in x for x in self.joined)
@@ -145,8 +147,35 @@ class Pieces:
                     found[k] = memo.get(c) or memo.setdefault(c, self._chunk(c))
         return np.frombuffer(b"".join(found), "<i4")
 
+    def _short(self, part: str) -> list[int]:
+        """As ``stream`` for a stretch between sure boundaries that is its own window."""
+        n, known, longest = len(part), self.known, self.longest
+        best: list[float | None] = [0.0] + [None] * n
+        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
+        for at in range(n):
+            mine = best[at]
+            if mine is None:
+                continue
+            single = False
+            for end in range(at + 1, min(n, at + longest) + 1):
+                piece = part[at:end]
+                found = known.get(piece, 0)
+                if found == 0:
+                    break
+                if found is None:
+                    continue
+                if end == at + 1:
+                    single = True
+                total = mine + found[0]
+                if best[end] is None or total > best[end]:
+                    best[end], back[end] = total, (at, found[1])
+            if not single and (best[at + 1] is None or mine + self.unknown_score > best[at + 1]):
+                best[at + 1], back[at + 1] = mine + self.unknown_score, (at, -1)
+        return self._path(part, n, back)
+
     def _chunk(self, chunk: str) -> bytes:
-        cuts = [k for k in range(1, len(chunk)) if chunk[k - 1 : k + 1] not in self.joined]
+        joined = self.joined
+        cuts = [k for k in range(1, len(chunk)) if chunk[k - 1 : k + 1] not in joined]
         out = []
         for s, e in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
             part = chunk[s:e]
@@ -154,7 +183,7 @@ class Pieces:
             if ids is None:
                 if len(self.parts) > MEMO:
                     self.parts.clear()
-                ids = self.parts[part] = array("i", self.stream(part)).tobytes()
+                ids = self.parts[part] = array("i", self._short(part) if len(part) <= 64 else self.stream(part)).tobytes()
             out.append(ids)
         return b"".join(out)
 
