@@ -81,7 +81,7 @@ def surrogate(kind: Column, name: Column, attempt: Column, key: str) -> Column:
     seed = F.concat_ws("|", F.lit(key), kind, name, attempt.cast("string"))
     stream = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("+")), 256))
     digits = F.translate(stream, "abcdef", "038159")
-    octet = lambda k: F.conv(F.substring(stream, 2 * k + 1, 2), 16, 10).cast("int")
+    octet = lambda k: F.conv(F.substring(stream, 2 * k + 1, F.lit(2)), 16, 10).cast("int")
 
     def alike(text: Column) -> Column:
         """Digit for digit, letter for letter of the same case and script, marks as they are."""
@@ -100,18 +100,24 @@ def surrogate(kind: Column, name: Column, attempt: Column, key: str) -> Column:
     at = F.regexp_extract(name, r"^(.*)@(.*)\.([^.]*)$", 1)
     email = F.concat(alike(at), more, F.lit("@"), alike(F.regexp_extract(name, r"@(.*)\.[^.]*$", 1)), F.lit("."), F.regexp_extract(name, r"\.([^.]*)$", 1))
     n = F.length(name)
-    phone = F.concat(F.substring(name, 1, 1), F.translate(F.substring(digits, 1, 1), "01", "29"), F.substring(digits, F.lit(2), n - 2))
+    # Numbers get more digits at the end when those of their length run short.
+    longer = F.greatest(F.lit(0), F.least(attempt, F.lit(20)) - 5)
+    phone = F.concat(F.substring(name, 1, 1), F.translate(F.substring(digits, 1, 1), "01", "29"), F.substring(digits, F.lit(2), n - 2 + longer))
     body = F.concat(F.substring(name, 1, 1), F.substring(digits, 1, 14))
     valid = F.substring(name, 16, 1) == luhn_digit(F.substring(name, 1, 15))
     card = F.concat(body, F.when(valid, luhn_digit(body)).otherwise(F.substring(digits, 20, 1)))
-    ip = F.concat_ws(".", *((octet(k) % 254 + 1).cast("string") for k in range(4)))
+    ip = F.concat_ws(".", *((octet(F.lit(k)) % 254 + 1).cast("string") for k in range(4)))
     hexadecimal = F.when(name.rlike("[A-F]"), F.upper(F.substring(stream, 1, 40))).otherwise(F.substring(stream, 1, 40))
     fixed = F.regexp_extract(name, r"^(AKIA|(?i:password)=)", 1)
-    secret = F.when(name.rlike("^[0-9A-Fa-f]{40}$"), hexadecimal).otherwise(F.concat(fixed, alike(F.substring(name, F.length(fixed) + 1, n))))
+    # Passwords have no fixed length: they grow like addresses.
+    alike_secret = F.concat(fixed, alike(F.substring(name, F.length(fixed) + 1, n)), F.when(fixed == "AKIA", F.lit("")).otherwise(more))
+    secret = F.when(name.rlike("^[0-9A-Fa-f]{40}$"), hexadecimal).otherwise(alike_secret)
     person = F.lit(None).cast("string")
+    # Each attempt has 16 times the family names of the one before.
+    places = F.sequence(F.lit(1), F.least(attempt, F.lit(60)) + 3)
     for (gender, script), names in GIVEN.items():
-        family = F.initcap(F.concat(*(_pick(SYLLABLES[script], octet(k)) for k in (1, 2, 3))))
-        full = F.when(name.contains(" "), F.concat(_pick(names, octet(0)), F.lit(" "), family)).otherwise(family)
+        family = F.initcap(F.array_join(F.transform(places, lambda k: _pick(SYLLABLES[script], octet(k))), ""))  # noqa: B023
+        full = F.when(name.contains(" "), F.concat(_pick(names, octet(F.lit(0))), F.lit(" "), family)).otherwise(family)
         mine = name.startswith(f"{gender}:") & (name.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else ~name.rlike(r"\p{IsCyrillic}"))
         person = F.when(mine, F.concat(F.lit(f"{gender}:"), full)).otherwise(person)
     return F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ip", ip).when(kind == "person", person).otherwise(secret)
@@ -124,7 +130,7 @@ def rendered(kind: Column, match: Column, made: Column) -> Column:
         before = F.length(F.regexp_replace(F.substring(match, F.lit(1), (k + 1).cast("int")), "[^0-9]", ""))
         return F.when(c.rlike("[0-9]"), F.substring(made, before, F.lit(1))).otherwise(c)
 
-    filled = F.array_join(F.transform(F.split(match, "(?!$)"), digit), "")
+    filled = F.concat(F.array_join(F.transform(F.split(match, "(?!$)"), digit), ""), F.substring(made, F.length(F.regexp_replace(match, "[^0-9]", "")) + 1, F.length(made)))
     loud = (match == F.upper(match)) & match.rlike(r"\p{Lu}{2}")
     title = F.regexp_extract(match, rf"^((?:{_TITLE})\.? )", 1)
     plain_name = F.regexp_replace(made, "^[mf]:", "")
@@ -140,6 +146,8 @@ def surrogates(entities: DataFrame, key: str, *, attempts: int = 30) -> DataFram
     """``kind, name, made`` of distinct (kind, name) rows: distinct, and none equal to an entity of the corpus.
 
     Of several entities that draw one surrogate the smallest name keeps it, the others draw again.
+    Emails, phones, passwords and persons get longer with the attempts, so any number of them have room; cards
+    (10 ** 14 of a first digit), addresses (254 ** 4) and keys keep their length.
     """
     def draw(rows: DataFrame, k: int) -> DataFrame:
         made = rows.withColumn("made", surrogate(F.col("kind"), F.col("name"), F.lit(k), key))

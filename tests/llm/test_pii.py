@@ -1,6 +1,7 @@
 import re
 
-from changeflow.llm.pii import pseudonymized, surrogates
+from changeflow.llm.pii import pseudonymized, rendered, surrogate, surrogates
+from pyspark.sql import functions as F
 
 KEY = "k"
 
@@ -51,6 +52,24 @@ def test_clashes_are_drawn_again(spark):
     assert len(rows) == len(names) == len({r.made for r in rows}) and not {r.made for r in rows} & set(names)
 
 
+def test_more_entities_than_short_surrogates(spark):
+    """4,096 family names of three syllables, 10 ** 6 passwords of six digits."""
+    names = [f"f:{x}a{y}" for x in range(70) for y in range(70)]
+    entities = spark.createDataFrame([("person", n) for n in names], "kind string, name string")
+    made = [r.made for r in surrogates(entities, KEY).collect()]
+    assert len(made) == len(set(made)) == len(names) > 4096 and all(re.fullmatch("f:[A-Z][a-z]+", m) for m in made)
+
+
+def test_crowded_kinds_grow(spark):
+    rows = [("phone", "+1 234 567 890", "1234567890"), ("secret", "password=123456", "password=123456"), ("secret", "AKIA" + "A" * 16, "AKIA" + "A" * 16)]
+    df = spark.createDataFrame(rows, "kind string, match string, name string")
+    for attempt, (phone, password) in {0: (10, 6), 6: (11, 18), 29: (25, 18)}.items():
+        made = df.withColumn("made", surrogate(F.col("kind"), F.col("name"), F.lit(attempt), KEY))
+        got = [r.put for r in made.select(rendered(F.col("kind"), F.col("match"), F.col("made")).alias("put")).collect()]
+        assert re.fullmatch(rf"\+1 \d{{3}} \d{{3}} \d{{{phone - 7}}}", got[0])
+        assert re.fullmatch(rf"password=\d{{{password}}}", got[1]) and re.fullmatch("AKIA[A-Z]{16}", got[2])
+
+
 def test_rows(spark):
     docs = spark.createDataFrame([(None, "a.b@c.de"), (1, "a.b@c.de"), (1, "a.b@c.de")], "doc_id long, text string")
     got = pseudonymized(docs, key=KEY).collect()
