@@ -67,6 +67,16 @@ def test_window_stays_small(vocabulary):
     assert first and len(fed) < 200
 
 
+@pytest.mark.parametrize("decode_first", [True, False])
+def test_texts_with_any_word_share_a_worker(decode_first):
+    v, text = Pieces(PATH), "a\ndecoded b\ndecoded\ndecoded\ndecoded c"
+    if decode_first:
+        assert v.decode([]) == ""
+    ids = list(v.encode(text))
+    assert ids == list(v.stream(SPACE + text.replace(" ", SPACE))) and v.decode(ids) == text
+    assert list(v.encode("a\ndecoded b")) == list(v.stream(SPACE + "a\ndecoded" + SPACE + "b"))
+
+
 def test_rows(spark, vocabulary):
     rows = [(1, "hello  world\n\ttab \U0001f600 你好"), (2, None), (3, ""), (None, " lead and trail "), (4, "word " * 50000), (4, "x" * 5000), (5, SPACE), (6, "a\x00b")]
     df = spark.createDataFrame([(*r, [1], "s") for r in rows], "doc_id long, text string, ids array<int>, text_sha256 string")
