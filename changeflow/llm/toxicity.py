@@ -37,8 +37,11 @@ WORD = re.compile(r"[^\W\d_]+")
 _MARK = re.escape("".join(LEET))
 _LEET = re.compile(rf"[{_MARK}]+")
 _WORDLIKE = re.compile(rf"(?:[^\W\d_]|[{_MARK}])+")
-_SPACED = re.compile(rf"(?<![\w{_MARK}])(?:[^\W_]|[{_MARK}])(?:([ .\-_/])(?:[^\W_]|[{_MARK}])(?![\w{_MARK}])){{3,}}")
-_REPEATED = re.compile(r"(.)\1\1")
+_ONE = rf"(?:[^\W_]|[{_MARK}])"
+_SPACED = re.compile(rf"(?<!{_ONE}){_ONE}(?:[ .\-_/]+{_ONE}(?!{_ONE})){{2,}}")
+_REPEATED = re.compile(r"(.)\1")
+#: Marks that also stand beside words as punctuation.
+_BESIDE = "!*#+|"
 #: Word beginnings of these lengths are features beside whole words.
 BEGINNINGS = (4, 5, 6, 7)
 _MEMO = 400_000
@@ -109,29 +112,33 @@ def restore(piece: str, model: CharModel, spaced: bool = False) -> str:
 
 
 def leet_words(text: str) -> set[str]:
-    """Words of letters and leet characters with at least two letters, leet characters not only at the end."""
+    """Words with at least one letter and one leet character, also without the punctuation at their ends."""
     found, at = set(), 0
     for m in _LEET.finditer(text):
-        if m.start() < at:
+        first, end = m.span()
+        if first < at or not (text[end : end + 1].isalpha() or first and text[first - 1].isalpha()):
             continue
-        at = m.end()
-        if not text[at : at + 1].isalpha():  # ends a word, like ``idiot!``, or stands between numbers
-            continue
-        first = m.start()
-        while first and (text[first - 1].isalpha() or text[first - 1] in LEET):
+        while first > at and (text[first - 1].isalpha() or text[first - 1] in LEET):
             first -= 1
         word = _WORDLIKE.match(text, first)
-        at = max(at, word.end())
-        found.add(word.group(0).rstrip("!*#+|"))
-    return {w for w in found if sum(map(str.isalpha, w)) > 1}
+        at = max(end, word.end())
+        w = word.group(0).lower()
+        found.update((w, w.rstrip(_BESIDE), w.strip(_BESIDE)))
+    return {w for w in found if not w.isalpha() and any(map(str.isalpha, w))}
 
 
-def restored_words(text: str, model: CharModel) -> set[str]:
-    """Words of all leet words and spaced-out stretches of a text, restored."""
+def restored_words(text: str, model: CharModel, memo: dict[tuple[str, bool], list[str]] | None = None) -> set[str]:
+    """Words of all leet words and spaced-out stretches of a text, restored; ``memo`` keeps them by spelling."""
     found: set[str] = set()
-    for pieces, spaced in ((leet_words(text), False), ({m.group(0) for m in _SPACED.finditer(text)}, True)):
+    memo = {} if memo is None else memo
+    for pieces, spaced in ((leet_words(text), False), ({m.group(0).lower() for m in _SPACED.finditer(text)}, True)):
         for piece in pieces:
-            found.update(WORD.findall(restore(piece, model, spaced)))
+            words = memo.get((piece, spaced))
+            if words is None:
+                if len(memo) > _MEMO:
+                    memo.clear()
+                words = memo[piece, spaced] = WORD.findall(restore(piece, model, spaced))
+            found.update(words)
     return found
 
 
@@ -201,7 +208,7 @@ class ToxicityModel:
 
 class _Scorer:
     def __init__(self, weights: dict[str, float], grams: dict[str, int]):
-        self.weights, self.model, self.memo = weights, CharModel(grams), {}
+        self.weights, self.model, self.memo, self.restored = weights, CharModel(grams), {}, {}
 
     def word(self, w: str) -> float:
         s = self.memo.get(w)
@@ -214,7 +221,7 @@ class _Scorer:
 
     def raw(self, text: str) -> float:
         words = set(_word_counts(text))
-        return max(map(self.word, words | restored_words(text, self.model)), default=0.0)
+        return max(map(self.word, words | restored_words(text, self.model, self.restored)), default=0.0)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -2,7 +2,7 @@ import random
 import zlib
 
 import pytest
-from changeflow.llm.toxicity import CharModel, restore, restored_words, score, train
+from changeflow.llm.toxicity import CharModel, leet_words, restore, restored_words, score, train
 
 PLAIN = "the house river green walking people water under stone night morning paper".split()
 
@@ -42,6 +42,22 @@ def test_disguises(spark, model, text):
     assert row.predicted == 1, restored_words(text, CharModel(model.grams))
 
 
+@pytest.mark.parametrize("text", ["an idi07 here", "you idio+", "(MOR0N!)", "#idi0t", "you m0r0n*", "so stuupid", "an iidiot", "i..d. .i..o..t", "i_d_i_o_t", "m  o  r  o  n"])
+def test_disguises_anywhere_in_a_word(spark, model, text):
+    row = score(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    assert row.predicted == 1, restored_words(text, CharModel(model.grams))
+
+
+def test_every_word_with_a_letter_and_a_mark():
+    assert leet_words("a55 bitche5 12 $5 idi0t! (h3y) plain") == {"a55", "bitche5", "idi0t!", "idi0t", "h3y"}
+
+
+def test_three_spaced_letters(model):
+    m, memo = CharModel(model.grams), {}
+    assert restored_words("on t h e  way, t--h--3", m, memo) >= {"the"} and restored_words("t--h--3", m) == {"the"}
+    assert memo and restored_words("on t h e  way, t--h--3", m, memo) == restored_words("on t h e  way, t--h--3", m)
+
+
 def test_restore_keeps_plain_words(model):
     m = CharModel(model.grams)
     assert restore("h0use", m) == "house"
