@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import doc_texts
+from changeflow.llm.common import doc_texts, written
 
 _TABLE = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 #: Items of one posting block; items of one index, which is broadcast (about 60 words each: 50 MB).
@@ -76,10 +76,12 @@ class Index:
         self.most = np.maximum.reduceat(self.block_max, self.pieces[:-1]) if flat else np.zeros(0)
 
     @classmethod
-    def build(cls, rows: list[tuple[int, str]]) -> Index:
+    def build(cls, rows: list[tuple[int, str]], counted: tuple[int, int, int, dict[bytes, int]] | None = None) -> Index:
+        """``counted``: items, words, longest item and items of each term in the whole benchmark, where ``rows`` are a slice of it."""
         bags = [Counter(words_of(t)) for _, t in rows]
-        df = Counter(t for b in bags for t in b)
-        n, mean = len(bags), sum(sum(b.values()) for b in bags) / max(1, len(bags))
+        sizes = [sum(b.values()) for b in bags]
+        n, total, longest, df = counted or (len(bags), sum(sizes), max(sizes, default=0), Counter(t for b in bags for t in b))
+        mean = total / max(1, n)
         lists: dict[bytes, list[tuple[int, float]]] = {}
         for i, bag in enumerate(bags):
             size = sum(bag.values())
@@ -88,7 +90,7 @@ class Index:
             for t, w in weight.items():
                 lists.setdefault(t, []).append((i, w / own))
         terms = {t: k for k, t in enumerate(lists)}
-        return cls([i for i, _ in rows], [halves(t) for _, t in rows], terms, list(lists.values()), max((sum(b.values()) for b in bags), default=0))
+        return cls([i for i, _ in rows], [halves(t) for _, t in rows], terms, list(lists.values()), longest)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -175,12 +177,34 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.6, least
 
 
 def _indexes(spark, benchmark: DataFrame) -> Iterator:
-    """Broadcast indexes of at most about ``INDEX_ITEMS`` items."""
+    """Broadcast indexes of at most about ``INDEX_ITEMS`` items, weighted and cut into passages as one index of all would be."""
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     passes = 1 + max(0, items.count() - 1) // INDEX_ITEMS
+    if passes == 1:
+        rows = items.orderBy("item_id", "text").collect()
+        yield spark.sparkContext.broadcast(Index.build([(r.item_id, r.text) for r in rows if words_of(r.text)]))
+        return
+    shape = "term binary, items long, words long, longest long"
+    counts = items.select("text").mapInArrow(_term_counts, shape).groupBy("term").agg(F.sum("items").alias("items"), F.sum("words").alias("words"), F.max("longest").alias("longest"))
+    counts = written(counts, "benchmark-terms")
+    whole = counts.where("term is null").first()
     for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
-        yield spark.sparkContext.broadcast(Index.build([(r.item_id, r.text) for r in part if words_of(r.text)]))
+        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
+        mine = part.select("text").mapInArrow(_term_counts, shape).where("term is not null").select("term").distinct()
+        df = {bytes(r.term): r["items"] for r in counts.join(mine, "term").select("term", "items").collect()}
+        rows = [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect() if words_of(r.text)]
+        yield spark.sparkContext.broadcast(Index.build(rows, (whole["items"], whole["words"], whole["longest"], df) if whole else None))
+
+
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items of each term; under no term the number of items with words, their words and the longest."""
+    for batch in batches:
+        bags = [b for b in (words_of(t.as_py()) for t in batch.column(0)) if b]
+        if bags:
+            df, sizes = Counter(t for b in bags for t in set(b)), [len(b) for b in bags]
+            none = [0] * len(df)
+            columns = ([*df, None], pa.binary()), ([*df.values(), len(bags)], pa.int64()), ([*none, sum(sizes)], pa.int64()), ([*none, max(sizes)], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(*c) for c in columns], names=["term", "items", "words", "longest"])
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.6, least_overlap: float = 0.6) -> DataFrame:

@@ -56,3 +56,19 @@ def test_edges(spark):
     assert find(spark.createDataFrame(docs, "doc_id long, text string"), none).count() == 0
     assert find(none.select(none.item_id.alias("doc_id"), "text"), spark.createDataFrame(items, "item_id long, text string")).count() == 0
     assert halves("one sentence only") == ([b"one", b"sentence"], [b"only"])
+
+
+def test_slices_score_as_one_index(spark, monkeypatch):
+    import random
+
+    from changeflow.llm import decontam
+
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(6, 30)))) for i in range(24)] + [(99, ""), (None, "w1 w2")]
+    texts = [(i, " ".join(rng.choices(vocabulary, k=40)) + " " + " ".join(w for w in items[i][1].split() if rng.random() < 0.85)) for i in range(24)]
+    docs, benchmark = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: sorted((r.doc_id, r.item_id, round(r.score, 9), r.passages) for r in decontam.find(docs, benchmark, threshold=0.5, least_overlap=0.2).collect())
+    whole = found()
+    monkeypatch.setattr(decontam, "INDEX_ITEMS", 5)
+    assert whole and found() == whole
