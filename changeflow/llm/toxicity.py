@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,9 @@ LEET_COST, DROP_COST, GAP_COST, REPEAT_COST = 1.0, 5.0, 2.5, 0.3
 #: Letters that the language model tells apart; all others share one symbol, so it has a proven bound.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzßàáâäåæçèéêëìíîïñòóôöøùúûüœ"
 EDGE, OTHER = " ", "?"
-_FOLD = {c: c for c in ALPHABET + EDGE}
+#: Symbols of the character model by number; 0 is a word's edge.
+_CODE = {c: k for k, c in enumerate(EDGE + OTHER + ALPHABET)}
+_SIZE = len(_CODE)
 
 WORD = re.compile(r"[^\W\d_]+")
 _MARK = re.escape("".join(LEET))
@@ -39,12 +43,16 @@ _LEET = re.compile(rf"[{_MARK}]+")
 _WORDLIKE = re.compile(rf"(?:[^\W\d_]|[{_MARK}])+")
 _ONE = rf"(?:[^\W_]|[{_MARK}])"
 _SPACED = re.compile(rf"(?<!{_ONE}){_ONE}(?:[ .\-_/]+{_ONE}(?!{_ONE})){{2,}}")
+#: What every spaced-out stretch holds; cheaper to look for.
+_SPACED_HINT = re.compile(rf"[ .\-_/]{_ONE}[ .\-_/]+{_ONE}(?!{_ONE})")
 _REPEATED = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1+")
 #: Marks that also stand beside words as punctuation.
 _BESIDE = "!*#+|"
 #: Word beginnings of these lengths are features beside whole words.
 BEGINNINGS = (4, 5, 6, 7)
-_MEMO = 400_000
+#: Words or features that a worker remembers; it bounds memory, not results.
+_MEMO = 150_000
 
 
 def features(word: str) -> list[str]:
@@ -52,36 +60,23 @@ def features(word: str) -> list[str]:
 
 
 class CharModel:
-    """Trigram log-probabilities with backing off by interpolation."""
+    """Trigram costs (negative log-probabilities) with backing off by interpolation, for every three symbols."""
 
     def __init__(self, counts: dict[str, int]):
-        tri, bi, uni = Counter(counts), Counter(), Counter()
-        before: Counter = Counter()
-        for g, n in counts.items():
-            bi[g[1:]] += n
-            uni[g[2]] += n
-            before[g[:2]] += n
-        self.tri, self.bi, self.uni, self.before = tri, bi, uni, before
-        self.total = sum(uni.values())
-        self.mid = Counter()
-        for g, n in bi.items():
-            self.mid[g[0]] += n
-        self.memo: dict[str, float] = {}
-
-    def cost(self, a: str, b: str, c: str) -> float:
-        g = a + b + c
-        if g not in self.memo:
-            p1 = (self.uni[c] + 0.5) / (self.total + 0.5 * 64)
-            p2 = (self.bi[b + c] + 4 * p1) / (self.mid[b] + 4)
-            p3 = (self.tri[g] + 4 * p2) / (self.before[a + b] + 4)
-            self.memo[g] = -math.log(p3)
-        return self.memo[g]
+        n = np.zeros((_SIZE, _SIZE, _SIZE))
+        for g, k in counts.items():
+            n[tuple(_CODE.get(c, 1) for c in g)] += k
+        uni, bi = n.sum((0, 1)), n.sum(0)
+        p1 = (uni + 0.5) / (uni.sum() + 0.5 * 64)
+        p2 = (bi + 4 * p1) / (bi.sum(1, keepdims=True) + 4)
+        p3 = (n + 4 * p2) / (n.sum(2, keepdims=True) + 4)
+        self.costs = array("d", (-np.log(p3)).ravel().tobytes())
 
 
 def restore(piece: str, model: CharModel, spaced: bool = False) -> str:
-    """The likeliest plain spelling of a disguised word, or of spaced-out letters, by Viterbi."""
-    best: dict[str, tuple[float, str]] = {EDGE + EDGE: (0.0, "")}
-    last = ""
+    """The likeliest plain spelling of a disguised word, or of spaced-out letters, by Viterbi; a state is the last two symbols."""
+    best: dict[int, tuple[float, str]] = {0: (0.0, "")}
+    last, costs = "", model.costs
     for ch in piece.lower():
         options: list[tuple[str, float]] = []
         if ch in LEET:
@@ -94,21 +89,22 @@ def restore(piece: str, model: CharModel, spaced: bool = False) -> str:
             options = [("", 0.0)]
         if ch == last:
             options.append(("", REPEAT_COST))
-        nxt: dict[str, tuple[float, str]] = {}
+        nxt: dict[int, tuple[float, str]] = {}
         for state, (cost, out) in best.items():
             for c, extra in options:
-                if not c or (c == EDGE and state[1] == EDGE):
+                if not c or (c == EDGE and state % _SIZE == 0):
                     to, total, text = state, cost + extra, out
                 else:
-                    f = _FOLD.get(c, OTHER)
-                    to, total, text = state[1] + f, cost + extra + model.cost(state[0], state[1], f), out + c
+                    to = state * _SIZE + _CODE.get(c, 1)
+                    total, text = cost + extra + costs[to], out + c
+                    to %= _SIZE * _SIZE
                 if to not in nxt or total < nxt[to][0]:
                     nxt[to] = (total, text)
         best = nxt
         if spaced and not ch.isalnum() and ch not in LEET:
             continue
         last = ch
-    return min((cost + model.cost(s[0], s[1], EDGE), out) for s, (cost, out) in best.items())[1]
+    return min((cost + costs[state * _SIZE], out) for state, (cost, out) in best.items())[1]
 
 
 def leet_words(text: str) -> set[str]:
@@ -127,19 +123,14 @@ def leet_words(text: str) -> set[str]:
     return {w for w in found if not w.isalpha() and any(map(str.isalpha, w))}
 
 
-def restored_words(text: str, model: CharModel, memo: dict[tuple[str, bool], list[str]] | None = None) -> set[str]:
-    """Words of all leet words and spaced-out stretches of a text, restored; ``memo`` keeps them by spelling."""
-    found: set[str] = set()
-    memo = {} if memo is None else memo
-    for pieces, spaced in ((leet_words(text), False), ({m.group(0).lower() for m in _SPACED.finditer(text)}, True)):
-        for piece in pieces:
-            words = memo.get((piece, spaced))
-            if words is None:
-                if len(memo) > _MEMO:
-                    memo.clear()
-                words = memo[piece, spaced] = WORD.findall(restore(piece, model, spaced))
-            found.update(words)
-    return found
+def spaced_stretches(text: str) -> set[str]:
+    return {m.group(0).lower() for m in _SPACED.finditer(text)} if _SPACED_HINT.search(text) else set()
+
+
+def restored_words(text: str, model: CharModel) -> set[str]:
+    """Words of all leet words and spaced-out stretches of a text, restored."""
+    found = {w for piece in leet_words(text) for w in WORD.findall(restore(piece, model))}
+    return found | {w for piece in spaced_stretches(text) for w in WORD.findall(restore(piece, model, True))}
 
 
 def _word_counts(text: str) -> list[str]:
@@ -152,15 +143,16 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush(words: Counter) -> pa.RecordBatch:
         grams: Counter = Counter()
         for w, n in words.items():
-            s = EDGE + EDGE + "".join(_FOLD.get(c, OTHER) for c in w) + EDGE
-            for k in range(len(s) - 2):
-                grams[s[k : k + 3]] += n
+            for word in WORD.findall(w):
+                s = EDGE + EDGE + "".join(c if c in _CODE else OTHER for c in word) + EDGE
+                for k in range(len(s) - 2):
+                    grams[s[k : k + 3]] += n
         return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["gram", "n"])
 
     words: Counter = Counter()
     for batch in batches:
         for text in batch.column(0):
-            words.update(_word_counts(text.as_py()))
+            words.update(text.as_py().lower().split())
         if len(words) > _MEMO:
             yield flush(words)
             words = Counter()
@@ -207,21 +199,57 @@ class ToxicityModel:
 
 
 class _Scorer:
-    def __init__(self, weights: dict[str, float], grams: dict[str, int]):
-        self.weights, self.model, self.memo, self.restored = weights, CharModel(grams), {}, {}
+    """Scores texts by their blank-separated tokens, which hold whole words; each token is looked at once while it is remembered."""
+
+    def __init__(self, weights: dict[str, float], model: CharModel):
+        self.weights, self.model = weights, model
+        #: A word with another beginning has no weight.
+        self.begins = {f.lstrip("^")[: BEGINNINGS[0]] for f in weights}
+        self.once = {_RUN.sub(r"\1", b) for b in self.begins}
+        self.long_once = {_RUN.sub(r"\1", b) for b in self.begins if len(b) == BEGINNINGS[0]}  # may go on
+        self.lengths = sorted({len(b) for b in self.long_once})
+        self.dull: set[str] = set()
+        self.known: dict[str, float] = {}
 
     def word(self, w: str) -> float:
-        s = self.memo.get(w)
-        if s is None:
-            if len(self.memo) > _MEMO:
-                self.memo.clear()
-            spellings = [w, *WORD.findall(restore(w, self.model))] if _REPEATED.search(w) else [w]
-            s = self.memo[w] = max(self.weights.get(f, 0.0) for x in spellings for f in features(x))
-        return s
+        if w[: BEGINNINGS[0]] not in self.begins:
+            return 0.0
+        return max(self.weights.get(f, 0.0) for f in features(w))
+
+    def _repeats_hide_one(self, w: str) -> bool:
+        """Whether a word with weight may come of dropping repeats; dropping keeps what all runs shrunk to one letter spell."""
+        once = _RUN.sub(r"\1", w)
+        return once in self.once or any(once[:k] in self.long_once for k in self.lengths)
+
+    def token(self, token: str) -> float:
+        words = [token]
+        if not token.isalpha():
+            words = WORD.findall(token)
+            if words and _LEET.search(token):
+                words += [x for w in leet_words(token) for x in WORD.findall(restore(w, self.model))]
+        best = 0.0
+        for w in words:
+            if w[: BEGINNINGS[0]] in self.begins:
+                best = max(best, self.word(w))
+            if _REPEATED.search(w) and self._repeats_hide_one(w):
+                best = max([best, *map(self.word, WORD.findall(restore(w, self.model)))])
+        return best
 
     def raw(self, text: str) -> float:
-        words = set(_word_counts(text))
-        return max(map(self.word, words | restored_words(text, self.model, self.restored)), default=0.0)
+        best = 0.0
+        for t in set(text.lower().split()) - self.dull:
+            s = self.known.get(t)
+            if s is None:
+                s = self.token(t)
+                if s:
+                    self.known[t] = s
+                else:
+                    self.dull.add(t)
+            best = max(best, s)
+        if len(self.dull) + len(self.known) > _MEMO:
+            self.dull, self.known = set(), {}
+        spaced = [w for piece in spaced_stretches(text) for w in WORD.findall(restore(piece, self.model, True))]
+        return max([best, *map(self.word, spaced)])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -261,7 +289,7 @@ def _monotone(bins: list[tuple[float, int, int]]) -> list[tuple[float, float]]:
     return [(0.0, min(0.01, curve[0][1])), *(c for c in curve if c[0] > 0), (1.0, max(0.99, curve[-1][1]))]
 
 
-def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, max_features: int = 100_000, z: float = 3.0) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, z: float = 3.0) -> ToxicityModel:
     """Learn from at most about ``labelled_rows`` labelled documents outside the held-out fold.
 
     The bound is on labels only; rows are taken by a hash of doc_id. Two thirds give the weights,
@@ -279,10 +307,10 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, ma
     counts = sample.where(~calibration).select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic int, n long")
     counts = counts.groupBy("feature").agg(F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum("n").alias("n")).where("t >= 3")
     weight = _lower_bound(F.col("t"), F.col("n"), z)
-    best = counts.withColumn("weight", weight).where("weight >= 0.1").orderBy(F.desc("t"), "feature").limit(max_features)
-    weights = {r.feature: r.weight for r in best.select("feature", "weight").collect()}
+    # As many as the labelled rows have beginnings of words in three toxic rows or more.
+    weights = {r.feature: r.weight for r in counts.select("feature", weight.alias("weight")).where("weight >= 0.1").collect()}
     grams = {r.gram: r.n for r in character_counts(docs).collect()}
-    bc = spark.sparkContext.broadcast((weights, grams))
+    bc = spark.sparkContext.broadcast((weights, CharModel(grams)))
     scored = sample.where(calibration).select("doc_id", "text", "toxic").mapInArrow(_raw_scores(bc), "doc_id long, toxic int, raw double")
     bins = scored.groupBy(F.round("raw", 2).alias("x")).agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).orderBy("x").collect()
     return ToxicityModel(weights, grams, _monotone([(r.x, r.t, r.n) for r in bins] or [(0.5, 1, 2)]))
@@ -294,7 +322,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> D
     Repeated rows are scored each; a null doc_id is kept and is not held out. An empty table gives
     no rows. Only doc_id and text are read, other columns never matter.
     """
-    bc = docs.sparkSession.sparkContext.broadcast((model.weights, model.grams))
+    bc = docs.sparkSession.sparkContext.broadcast((model.weights, CharModel(model.grams)))
     raw = doc_texts(docs).mapInArrow(_raw_scores(bc), "doc_id long, raw double")
     curve = F.lit(model.curve[-1][1])
     for (x0, y0), (x1, y1) in reversed(list(zip(model.curve, model.curve[1:], strict=False))):
@@ -305,14 +333,15 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> D
 
 def clean_documents(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text scores below ``threshold``; null texts stay."""
-    bc = docs.sparkSession.sparkContext.broadcast(model)
+    bc = docs.sparkSession.sparkContext.broadcast((model.weights, CharModel(model.grams)))
+    curve = ToxicityModel({}, {}, model.curve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
         for batch in batches:
             if scorer is None:
-                scorer = _Scorer(bc.value.weights, bc.value.grams)
+                scorer = _Scorer(*bc.value)
             texts = batch.column(batch.schema.names.index("text"))
-            yield batch.filter(pa.array([bc.value.calibrated(scorer.raw(t.as_py() or "")) < threshold for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([curve.calibrated(scorer.raw(t.as_py() or "")) < threshold for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,7 +1,9 @@
+import math
 import random
 import zlib
 
 import pytest
+from changeflow.llm import toxicity
 from changeflow.llm.toxicity import CharModel, leet_words, restore, restored_words, score, train
 
 PLAIN = "the house river green walking people water under stone night morning paper".split()
@@ -53,9 +55,50 @@ def test_every_word_with_a_letter_and_a_mark():
 
 
 def test_three_spaced_letters(model):
-    m, memo = CharModel(model.grams), {}
-    assert restored_words("on t h e  way, t--h--3", m, memo) >= {"the"} and restored_words("t--h--3", m) == {"the"}
-    assert memo and restored_words("on t h e  way, t--h--3", m, memo) == restored_words("on t h e  way, t--h--3", m)
+    m = CharModel(model.grams)
+    assert restored_words("on t h e  way, t--h--3", m) >= {"the"} and restored_words("t--h--3", m) == {"the"}
+
+
+def every_spelling(piece, m, spaced):
+    """(cost, spelling) of all ways through the channel, one by one."""
+    size, paths, last = len(toxicity._CODE), [(0.0, "", 0)], ""
+    for ch in piece.lower():
+        sep = not ch.isalnum() and ch not in toxicity.LEET
+        if ch in toxicity.LEET:
+            ways = [(c, toxicity.LEET_COST + math.log(len(toxicity.LEET[ch]))) for c in toxicity.LEET[ch]] + [("", toxicity.DROP_COST)]
+        elif sep:
+            ways = [("", 0.0)] + ([(" ", toxicity.GAP_COST)] if spaced else [])
+        else:
+            ways = [(ch, 0.0)]
+        if ch == last:
+            ways.append(("", toxicity.REPEAT_COST))
+        new = []
+        for cost, out, state in paths:
+            for c, extra in ways:
+                if not c or c == " " and state % size == 0:
+                    new.append((cost + extra, out, state))
+                else:
+                    to = state * size + toxicity._CODE.get(c, 1)
+                    new.append((cost + extra + m.costs[to], out + c, to % size**2))
+        paths, last = new, last if sep and spaced else ch
+    return [(cost + m.costs[state * size], out) for cost, out, state in paths]
+
+
+@pytest.mark.parametrize("piece,spaced", [("1d10t", False), ("p@p3r", False), ("st0o0ne", False), ("m0rr0n", False), ("w*t3r!", False), ("h o u 5 e", True), ("p--a p 3 r", True), ("i i d i o t", True)])
+def test_restore_equals_exhaustive_decoding(model, piece, spaced):
+    m = CharModel(model.grams)
+    ways = every_spelling(piece, m, spaced)
+    least = min(cost for cost, _ in ways)
+    assert min(cost for cost, out in ways if out == restore(piece, m, spaced)) == pytest.approx(least, abs=1e-9)
+
+
+def test_scores_do_not_depend_on_what_a_worker_remembers(model, monkeypatch):
+    m = CharModel(model.grams)
+    texts = ["a moron here", "plain 1d10t, words", "(stupid)", "sstupid under m o r o n", "x-moron-y 12 $5", "I D I O T"]
+    fresh = [toxicity._Scorer(model.weights, m).raw(t) for t in texts]
+    monkeypatch.setattr(toxicity, "_MEMO", 3)
+    one = toxicity._Scorer(model.weights, m)
+    assert [one.raw(t) for t in texts * 3] == fresh * 3 and min(fresh) > 0
 
 
 def test_restore_keeps_plain_words(model):
