@@ -14,6 +14,7 @@ Parquet files since Spark commits those atomically on any file system and repeat
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -41,8 +42,9 @@ GROUP_CHARS = 1_000_000
 LINE_WORDS = 100
 #: Separators of Python's str.split that a tokenizer does not take for white space.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
-#: Marks that may end a word.
-_MARKS = ".,!?;:*#&%$\"()[]-"
+#: Latin-1 marks but the apostrophe, which a tokenizer may join with letters.
+_MARK = re.escape("".join(c for c in map(chr, range(256)) if not c.isalnum() and not c.isspace() and c != "'"))
+_MARKS, _BESIDE = re.compile(f"[{_MARK}]+"), re.compile(f"'[{_MARK}]|[{_MARK}]'")
 _WORKER: dict = {}
 
 
@@ -50,9 +52,11 @@ class WordEncoder:
     """Encodes whole texts with a tokenizer whose words never cross white space, word by word.
 
     Equal to ``tokenizer.encode(text, add_special_tokens=False)``. The tokenizer sees each word once
-    for as long as a worker remembers it. Words are remembered in lower case and without the marks
-    at their end, which such a tokenizer encodes apart; this holds for Latin-1 texts, where lower
-    case and composition go character by character. Any other text is encoded as it is.
+    for as long as a worker remembers it. Words are remembered in lower case and apart from marks
+    beside them; this holds for Latin-1 texts, where lower case and composition go character by
+    character, if the tokenizer ignores case and white space and encodes letters and marks apart,
+    which is tried out for every Latin-1 character. Any other text, and every text for a tokenizer
+    that fails, is encoded as it is.
     """
 
     def __init__(self, path: str):
@@ -64,62 +68,63 @@ class WordEncoder:
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = {i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)} if suffix else set()
         self.memo: dict[str, bytes] = {}
-        self.marked: dict[str, bytes] = {}
+        self.by_word = self._tried()
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _tried(self) -> bool:
+        word, two = self._ids("ab"), self._ids("cd ab")
+        if two != self._ids("cd") + word or any(self._ids(f" cd{c}ab ") != two for c in ("  ", "\n", "\t", "\xa0")):
+            return False
+        for c in map(chr, range(33, 256)):
+            if c.isalpha() and self._ids(f"a{c}b") != self._ids(f"a{c.lower()}b"):
+                return False
+            if _MARKS.fullmatch(c) and (self._ids(f"ab{c}ab") != word + self._ids(c) + word or self._ids(f"1{c}1") != self._ids("1") + self._ids(c) + self._ids("1")):
+                return False
+        return True
 
     def encode(self, text: str) -> np.ndarray:
         return next(self.encode_many([text]))
 
     def encode_many(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """New words of all the texts are encoded in one call."""
-        memo, other = self.memo, self.marked
-        split = [text.lower().split() if self._by_word(text) else None for text in texts]
-        looked = [None if words is None else list(map(memo.get, words)) for words in split]
-        self._learn({w for words, found in zip(split, looked, strict=True) if words and None in found for w, x in zip(words, found, strict=True) if x is None})
-        for text, words, found in zip(texts, split, looked, strict=True):
-            if words is None:
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-                continue
-            if None in found:
-                found = [memo.get(words[k]) or other.get(words[k], b"") if x is None else x for k, x in enumerate(found)]
-            yield np.frombuffer(b"".join(found), dtype="<u4")
+        """New words of all the texts are encoded together."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        split = [self._words(text.lower()) if self.by_word and self._plain(text) else None for text in texts]
+        self._learn(list(set().union(*(w for w in split if w)).difference(self.memo)))
+        known = self.memo.__getitem__
+        for text, words in zip(texts, split, strict=True):
+            yield np.array(self._ids(text), dtype="<u4") if words is None else np.frombuffer(b"".join(map(known, words)), dtype="<u4")
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """What is encoded apart: runs of marks and what lies between; all between blanks where an apostrophe touches another mark."""
+        return (text if "'" in text and _BESIDE.search(text) else _MARKS.sub(r" \g<0> ", text)).split()
 
     @staticmethod
-    def _by_word(text: str) -> bool:
+    def _plain(text: str) -> bool:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return False
         return not any(c in text for c in _ODD)
 
-    def _learn(self, words: set[str]) -> None:
-        memo, other = self.memo, self.marked
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        if len(other) > MEMO_WORDS // 4:
-            other.clear()
-        marked, new = {}, list(words)
-        for k, w in enumerate(new):
-            core = w.rstrip(_MARKS)
-            if core and core != w and core.isalpha():
-                new[k] = core
-                if w not in other:
-                    marked[w] = (core, w[len(core) :])
-                    new.append(marked[w][1])
-        new = [w for w in dict.fromkeys(new) if w not in memo]
-        plain, odd = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
-        for at in range(0, len(plain), LINE_WORDS):
-            line = plain[at : at + LINE_WORDS]
-            ids = self.tokenizer.encode(" ".join(line), add_special_tokens=False).ids
+    def _learn(self, new: list[str]) -> None:
+        memo, odd = self.memo, []
+        plain = [w for w in new if w.isalpha()] if self.ends else []
+        lines = [plain[at : at + LINE_WORDS] for at in range(0, len(plain), LINE_WORDS)]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = e.ids
             cuts = [k for k, x in enumerate(ids, 1) if x in self.ends]
             if len(cuts) == len(line):
                 raw = array("I", ids).tobytes()
                 memo.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(line, [0, *cuts], cuts, strict=False))
             else:
                 odd += line
+        odd += [w for w in new if not w.isalpha()] if self.ends else new
         for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
             memo[w] = array("I", e.ids).tobytes()
-        for w, (core, end) in marked.items():
-            other[w] = memo[core] + memo[end]
 
 
 def _word_encoder(path: str) -> WordEncoder:

@@ -1,9 +1,10 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
-from changeflow.llm.tokenbin import from_planes, read_ids, read_tokens, to_planes, write_tokens
+from changeflow.llm.tokenbin import WordEncoder, from_planes, read_ids, read_tokens, to_planes, write_tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ROWS = [
@@ -35,6 +36,28 @@ def test_store_matches_direct_encoding(spark, tmp_path, planes):
         assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == {(g[0], g[1]): g[3] for g in got}[r.doc_id, r.start]
 
 
+def test_words_apart_equal_whole_texts():
+    encoder = WordEncoder(PATH)
+    assert encoder.by_word
+    rng = random.Random(3)
+    characters = [chr(k) for k in range(1, 256)] + list("  ''..,!_ab \n")
+    texts = ["".join(rng.choices(characters, k=rng.randrange(60))) for _ in range(3000)] + ["a!!'s", "it's. '!x", "a_b__c", "!'", "x²³ ¼", "don't.", "a.b'll!c"]
+    for text, ids in zip(texts, encoder.encode_many(texts), strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_tokenizer_that_keeps_case(tmp_path):
+    import json
+
+    kept = json.load(open(PATH))
+    kept["normalizer"]["normalizers"] = [x for x in kept["normalizer"]["normalizers"] if x["type"] != "Lowercase"]
+    (tmp_path / "cased.json").write_text(json.dumps(kept))
+    encoder = WordEncoder(str(tmp_path / "cased.json"))
+    assert not encoder.by_word
+    for text in ("Hello World", "hello WORLD!"):
+        assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     write_tokens(docs, path := str(tmp_path / "s"), tokenizer=PATH)
