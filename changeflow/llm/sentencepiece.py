@@ -20,8 +20,7 @@ from changeflow.llm.common import doc_texts
 
 SPACE = "▁"
 #: Chunks that a worker remembers; it bounds memory, not results.
-MEMO = 600_000
-_CHUNK = re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+MEMO = 400_000
 _WORKER: dict = {}
 
 
@@ -42,70 +41,86 @@ class Pieces:
         self.silent = {i for i in range(size) if sp.is_control(i)}
         self.unknown = sp.unk_id()
         self.longest = max(map(len, self.score), default=1)
+        self.window = 4 * self.longest
         self.starts = {p[:k] for p in self.score for k in range(1, len(p) + 1)}
+        self.lone = {p for p in self.score if len(p) == 1}
         #: Every beginning of a piece; those that are pieces have their score and id.
         self.known = {p: self.score.get(p) for p in self.starts}
         #: Neighbouring characters within a piece: between any others all paths have a boundary.
         self.joined = {p[k : k + 2] for p in self.score for k in range(len(p) - 1)}
         self.by_chunk = not any(x[1] == SPACE and x[0] != SPACE or "\n" in x for x in self.joined)
+        # Nor over the edge of a run of marks that no piece joins with letters, unless one of a few other characters is near.
+        pairs = [(c, other) for x in self.joined for c, other in (x, x[::-1]) if not c.isalpha() and c not in (SPACE, "\n")]
+        marks = {c for c, _ in pairs} - {c for c, other in pairs if other.isalpha()}
+        near = {other for c, other in pairs if c in marks} - marks - {SPACE}
+        whole = rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
+        of = lambda chars: re.escape("".join(sorted(chars)))
+        self.chunks = re.compile(whole).findall
+        self.finer = re.compile(rf"\n|{SPACE}*(?:[^{SPACE}\n{of(marks)}]+|[{of(marks)}]+)|{SPACE}+").findall if marks else self.chunks
+        self.near = re.compile(f"[{of(near)}]" if near else r"(?!)").search
         self.octets = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else p.replace(SPACE, " ").encode() for i, p in enumerate(self.text)]
         self.memo: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def stream(self, characters: Iterable[str]) -> Iterator[int]:
-        """Ids of a stream of characters (spaces already as the model writes them), committed as early as possible."""
-        window, base = "", 0  # text from the last committed boundary
-        best: list[float | None] = [0.0]
-        back: list[tuple[int, int]] = [(0, -1)]
-        at = 0  # position whose outgoing pieces come next
-        source, more = iter(characters), True
-        while True:
-            while more and len(window) < at + self.longest + 1:
-                c = next(source, None)
-                if c is None:
-                    more = False
-                    break
-                window += c
-            if at >= len(window):
-                break
-            self._relax(window, at, best, back)
+
+    def stream(self, source: Iterable[str]) -> Iterator[int]:
+        """Ids of a text that comes in pieces of any size (spaces already as the model writes them), committed as early as possible."""
+        text, at = "", 0
+        best, back = [0.0], [(0, -1)]
+        for piece in source:
+            text += piece
+            ids, at, text, best, back = self._advance(text, at, len(text) - self.longest, best, back)
+            yield from ids
+        yield from self._advance(text, at, len(text), best, back)[0]
+
+    def _advance(self, text: str, at: int, stop: int, best: list, back: list) -> tuple[list[int], int, str, list, list]:
+        """Extends all boundaries from ``at`` up to ``stop``: the ids committed, and what is left after the last committed boundary.
+
+        ``text``, ``best`` (scores) and ``back`` (start and id of the last piece) begin at the last committed boundary. Where no
+        piece of a surviving path reaches over a boundary, all paths pass it, and the ids up to it are committed. Where that
+        doesn't happen for long, the backpointers are followed to the boundary at which they meet.
+        """
+        get, lone, longest, n = self.known.get, self.lone, self.longest, len(text)
+        ids: list[int] = []
+        first = 0
+        while at < stop:
+            here = k = at - first
+            mine = best[here]
+            if mine is not None:
+                size = len(best)
+                for end in range(at + 1, min(n, at + longest) + 1):
+                    found = get(text[at:end], 0)
+                    k += 1
+                    if found:
+                        total = mine + found[0]
+                        if k < size:
+                            if best[k] is None or total > best[k]:  # ties stay with the earlier start
+                                best[k], back[k] = total, (here, found[1])
+                        else:
+                            while size < k:
+                                best.append(None)
+                                back.append((0, -1))
+                                size += 1
+                            best.append(total)
+                            back.append((here, found[1]))
+                            size += 1
+                    elif found == 0:
+                        break
+                if text[at] not in lone:
+                    if size == here + 1:
+                        best.append(None)
+                        back.append((0, -1))
+                    if best[here + 1] is None or mine + self.unknown_score > best[here + 1]:
+                        best[here + 1], back[here + 1] = mine + self.unknown_score, (here, -1)
             at += 1
-            to = self._common(at, best, back)
-            if to:
-                yield from self._path(window, to, back)
-                window, base = window[to:], base + to
-                floor = best[to]
+            here += 1
+            if len(best) == here + 1:
+                ids += self._path(text, first, here, back)
+                first, best, back = at, [0.0], [(0, -1)]
+            elif here % self.window == 0 and (to := self._common(here, best, back)):
+                ids += self._path(text, first, to, back)
+                first, floor = first + to, best[to]
                 best = [None if b is None else b - floor for b in best[to:]]
                 back = [(b[0] - to, b[1]) for b in back[to:]]
-                at -= to
-        if at:
-            yield from self._path(window, at, back)
-
-    def _relax(self, window: str, at: int, best: list, back: list) -> None:
-        """All pieces that start at a reached boundary; ties stay with the earlier start."""
-        mine = best[at]
-        if mine is None:
-            return
-        single = False
-        for end in range(at + 1, min(len(window), at + self.longest) + 1):
-            piece = window[at:end]
-            if piece not in self.starts:
-                break
-            found = self.score.get(piece)
-            if found is None:
-                continue
-            single |= end == at + 1
-            while len(best) <= end:
-                best.append(None)
-                back.append((0, -1))
-            if best[end] is None or mine + found[0] > best[end]:
-                best[end], back[end] = mine + found[0], (at, found[1])
-        if not single:
-            while len(best) <= at + 1:
-                best.append(None)
-                back.append((0, -1))
-            if best[at + 1] is None or mine + self.unknown_score > best[at + 1]:
-                best[at + 1], back[at + 1] = mine + self.unknown_score, (at, -1)
+        return ids, at - first, text[first:], best, back
 
     @staticmethod
     def _common(at: int, best: list, back: list) -> int:
@@ -117,27 +132,28 @@ class Pieces:
             live.add(back[k][0])
         return live.pop() if live else 0
 
-    def _path(self, window: str, to: int, back: list) -> list[int]:
+    def _path(self, text: str, first: int, to: int, back: list) -> list[int]:
         ids: list[int] = []
         while to > 0:
             start, piece = back[to]
             if piece >= 0:
                 ids.append(piece)
             elif self.byte_id:
-                ids += [self.byte_id[b] for b in reversed(window[start:to].encode("utf-8", "surrogatepass"))]
+                ids += [self.byte_id[b] for b in reversed(text[first + start : first + to].encode("utf-8", "surrogatepass"))]
             else:
                 ids.append(self.unknown)
             to = start
         return ids[::-1]
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text; empty text has none. Stretches between sure boundaries are looked up when seen before."""
+        """Ids of a whole text; empty text has none. A stretch over whose ends no piece reaches (blanks, runs of marks)
+        is a stream of its own; its ids are remembered."""
         if not text:
             return np.zeros(0, "<i4")
         written = SPACE + text.replace(" ", SPACE)
         if not self.by_chunk:
-            return np.array(list(self.stream(written)), "<i4")
-        memo, chunks = self.memo, _CHUNK.findall(written)
+            return np.array(list(self.stream([written])), "<i4")
+        memo, chunks = self.memo, (self.chunks if self.near(written) else self.finer)(written)
         found = list(map(memo.get, chunks))
         if None in found:
             if len(memo) > MEMO:
@@ -145,49 +161,9 @@ class Pieces:
             for k, x in enumerate(found):
                 if x is None:
                     c = chunks[k]
-                    found[k] = memo.get(c) or memo.setdefault(c, self._chunk(c))
+                    found[k] = memo.get(c) or memo.setdefault(c, array("i", self._advance(c, 0, len(c), [0.0], [(0, -1)])[0]).tobytes())
         return np.frombuffer(b"".join(found), "<i4")
 
-    def _short(self, part: str) -> list[int]:
-        """As ``stream`` for a stretch between sure boundaries that is its own window."""
-        n, known, longest = len(part), self.known, self.longest
-        best: list[float | None] = [0.0] + [None] * n
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        for at in range(n):
-            mine = best[at]
-            if mine is None:
-                continue
-            single = False
-            for end in range(at + 1, min(n, at + longest) + 1):
-                piece = part[at:end]
-                found = known.get(piece, 0)
-                if found == 0:
-                    break
-                if found is None:
-                    continue
-                if end == at + 1:
-                    single = True
-                total = mine + found[0]
-                if best[end] is None or total > best[end]:
-                    best[end], back[end] = total, (at, found[1])
-            if not single and (best[at + 1] is None or mine + self.unknown_score > best[at + 1]):
-                best[at + 1], back[at + 1] = mine + self.unknown_score, (at, -1)
-        return self._path(part, n, back)
-
-    def _chunk(self, chunk: str) -> bytes:
-        joined = self.joined
-        cuts = [k for k in range(1, len(chunk)) if chunk[k - 1 : k + 1] not in joined]
-        out = []
-        for s, e in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
-            part = chunk[s:e]
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(self.parts) > MEMO:
-                    self.parts.clear()
-                ids = self.parts[part] = array("i", self._short(part) if len(part) <= 64 else self.stream(part)).tobytes()
-            out.append(ids)
-        return b"".join(out)
-
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
         text = b"".join(map(self.octets.__getitem__, ids)).decode("utf-8", "replace")

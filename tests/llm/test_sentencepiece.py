@@ -55,6 +55,19 @@ def test_same_as_the_library_in_unigram_mode(vocabulary):
         assert [vocabulary.text[i] for i in vocabulary.encode(text)] == library.nbest_encode_as_pieces(text, 2)[0]
 
 
+def test_streams_in_pieces_of_any_size(vocabulary):
+    rng = random.Random(9)
+    for _ in range(40):
+        text = SPACE + "".join(rng.choice("abcdeth.,!'|#0é你\n " + "’“" * (rng.random() < 0.3)) for _ in range(rng.randrange(1, 400))).replace(" ", SPACE)
+        at, parts = 0, []
+        while at < len(text):
+            parts.append(text[at : (at := at + rng.randrange(1, 40))])
+        ids = list(vocabulary.stream(parts))
+        assert ids == list(vocabulary.stream([text])) == vocabulary.encode(text.replace(SPACE, " ")[1:]).tolist()
+    one = "a" * 3000  # one stretch without any sure boundary
+    assert list(vocabulary.stream(one)) == list(vocabulary.stream([one])) and vocabulary.decode(list(vocabulary.stream(one))) == one
+
+
 def test_window_stays_small(vocabulary):
     fed = []
 
