@@ -28,14 +28,27 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a doc_id stay; a doc_id that comes more than once is kept once."""
-    groups = written(similar_groups(docs, shingle_words=5, percent=80).select("doc_id", "component_id"), "pipeline-groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    few = gone.count() <= FEW
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    """Rows without a doc_id stay. Of repeated rows one stays; different texts under one doc_id are documents of their own."""
+    again = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", F.lit(True).alias("_again")), "pipeline-again")
+    repeated = not again.isEmpty()
+    own = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    keyed = docs.join(_small(again), "doc_id", "left").withColumn("_row", F.when(F.col("_again"), own).otherwise(F.col("doc_id").cast("long")))
+    groups = written(similar_groups(keyed.select(F.col("_row").alias("doc_id"), "text"), shingle_words=5, percent=80).select(F.col("doc_id").alias("_row"), "component_id"), "pipeline-groups")
+    groups = groups.where("_row is not null").distinct()
+    gone = groups.where("_row <> component_id").select("_row")
+    if repeated:  # the smallest of a group's row keys need not be that of its smallest doc_id
+        named = groups.join(keyed.select("_row", "doc_id").distinct(), "_row")
+        first = named.groupBy("component_id").agg(F.min_by("_row", F.struct("doc_id", "_row")).alias("first"))
+        gone = named.join(first, "component_id").where("_row <> first").select("_row")
+    kept = keyed.join(_small(written(gone, "pipeline-gone")), "_row", "left_anti")
+    if repeated:
+        kept = kept.where("_again is null").unionByName(kept.where("_again").dropDuplicates(["_row"]))
+    return kept.select(*docs.columns)
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """Broadcast, if counted few."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
