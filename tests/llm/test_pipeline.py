@@ -72,3 +72,26 @@ def test_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (2, "A b c d e f", "y"), (None, "q", "z")], "doc_id long, text string, rep string")
     got = sorted(map(tuple, corpus_pipeline.ngram_join(spark, docs, "").collect()), key=str)
     assert got == [(1, "a b c d e f", "x"), (None, "q", "z")]
+
+
+def test_different_texts_under_one_id(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join([*base[:-1], "x"])
+    rows = [(5, " ".join(base)), (5, "quite another text of some words here"), (5, "quite another text of some words here"), (7, near), (3, near + " y"), (9, None), (9, "")]
+    got = corpus_pipeline.ngram_join(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    kept = sorted((r.doc_id, r.text or "") for r in got)
+    assert kept == sorted([(3, near + " y"), (5, "quite another text of some words here"), (9, "")])
+
+
+@pytest.mark.parametrize("name,stage", STAGES)
+def test_stages_on_odd_tables(spark, corpus, name, stage):
+    path, *_ = corpus
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, raw double, component_id long, ids array<int>"
+    empty = spark.createDataFrame([], schema)
+    assert stage(spark, empty, path).count() == 0
+    rows = [(None, None), (1, ""), (2, "stone " * 60000), (3, "mail a.b@example.com " * 2), (3, "mail a.b@example.com " * 2), (None, "no id")]
+    odd = spark.createDataFrame([(*r, "en", None, None, 0.5, None, 4, [1]) for r in rows], schema)
+    out = stage(spark, odd, path).collect()
+    assert len(out) == (5 if name == "ngram_join" else 6)
+    if name != "sentencepiece":
+        assert {(r.doc_id, r.score) for r in out} >= {(None, 0.5), (1, 0.5), (2, 0.5), (3, 0.5)}
