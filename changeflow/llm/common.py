@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,15 +17,15 @@ SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor and the driver see.
+    """The folder that every executor and the driver see: the cluster's ``spark.checkpoint.dir``.
 
-    It is the cluster's ``spark.checkpoint.dir``; only where that is unset (tests on one machine)
-    a temporary folder is made and remembered in the session.
+    Only where that is unset and Spark runs in one process (tests) is a temporary folder made and
+    remembered in the session; on a cluster each host would have a folder of its own, so it is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("changeflow.scratch.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("changeflow.scratch.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-changeflow-")
         spark.conf.set("changeflow.scratch.dir", folder)
     return folder.rstrip("/")
@@ -51,8 +52,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python 1,000 at a time, unless the session says otherwise: a task holds a batch on both sides."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def doc_texts(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` of a documents table; a null text counts as empty."""
+    """``(doc_id, text)`` of a documents table; a null text counts as empty. Also sees to ``small_batches``."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 

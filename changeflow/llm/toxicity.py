@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import doc_texts, written
+from changeflow.llm.common import doc_texts, small_batches, written
 
 # What a character of leetspeak may stand for.
 LEET = {
@@ -46,7 +46,6 @@ _SPACED = re.compile(rf"(?<!{_ONE}){_ONE}(?:[ .\-_/]+{_ONE}(?!{_ONE})){{2,}}")
 #: What every spaced-out stretch holds; cheaper to look for.
 _SPACED_HINT = re.compile(rf"[ .\-_/]{_ONE}[ .\-_/]+{_ONE}(?!{_ONE})")
 _REPEATED = re.compile(r"(.)\1")
-_RUN = re.compile(r"(.)\1+")
 #: Marks that also stand beside words as punctuation.
 _BESIDE = "!*#+|"
 #: Word beginnings of these lengths are features beside whole words.
@@ -205,9 +204,8 @@ class _Scorer:
         self.weights, self.model = weights, model
         #: A word with another beginning has no weight.
         self.begins = {f.lstrip("^")[: BEGINNINGS[0]] for f in weights}
-        self.once = {_RUN.sub(r"\1", b) for b in self.begins}
-        self.long_once = {_RUN.sub(r"\1", b) for b in self.begins if len(b) == BEGINNINGS[0]}  # may go on
-        self.lengths = sorted({len(b) for b in self.long_once})
+        self.starts = {b[:k] for b in self.begins for k in range(1, len(b) + 1)}
+        self.long = {b for b in self.begins if len(b) == BEGINNINGS[0]}  # may go on
         self.dull: set[str] = set()
         self.known: dict[str, float] = {}
 
@@ -216,23 +214,37 @@ class _Scorer:
             return 0.0
         return max(self.weights.get(f, 0.0) for f in features(w))
 
-    def _repeats_hide_one(self, w: str) -> bool:
-        """Whether a word with weight may come of dropping repeats; dropping keeps what all runs shrunk to one letter spell."""
-        once = _RUN.sub(r"\1", w)
-        return once in self.once or any(once[:k] in self.long_once for k in self.lengths)
+    def may_hide(self, w: str) -> bool:
+        """Whether any way through the channel spells a word with a weighted beginning; it needs no look at the costs."""
+        starts, last = {""}, ""
+        for ch in w:
+            new = set(starts) if ch in LEET or ch == last else set()
+            for c in LEET.get(ch, ch):
+                for p in starts:
+                    p += c
+                    if p in self.long:
+                        return True
+                    if p in self.starts:
+                        new.add(p)
+            if not new:
+                return False
+            starts, last = new, ch
+        return not starts.isdisjoint(self.begins)
+
+    def restored(self, w: str) -> float:
+        return max(map(self.word, WORD.findall(restore(w, self.model))), default=0.0) if self.may_hide(w) else 0.0
 
     def token(self, token: str) -> float:
-        words = [token]
-        if not token.isalpha():
-            words = WORD.findall(token)
-            if words and _LEET.search(token):
-                words += [x for w in leet_words(token) for x in WORD.findall(restore(w, self.model))]
+        plain = token.isalpha()
+        words = [token] if plain else WORD.findall(token)
         best = 0.0
         for w in words:
             if w[: BEGINNINGS[0]] in self.begins:
                 best = max(best, self.word(w))
-            if _REPEATED.search(w) and self._repeats_hide_one(w):
-                best = max([best, *map(self.word, WORD.findall(restore(w, self.model)))])
+            if _REPEATED.search(w):
+                best = max(best, self.restored(w))
+        if not plain and words and _LEET.search(token):
+            best = max([best, *map(self.restored, leet_words(token))])
         return best
 
     def raw(self, text: str) -> float:
@@ -289,11 +301,12 @@ def _monotone(bins: list[tuple[float, int, int]]) -> list[tuple[float, float]]:
     return [(0.0, min(0.01, curve[0][1])), *(c for c in curve if c[0] > 0), (1.0, max(0.99, curve[-1][1]))]
 
 
-def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, z: float = 3.0) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, lift: float = 2.0, z: float = 3.0) -> ToxicityModel:
     """Learn from at most about ``labelled_rows`` labelled documents outside the held-out fold.
 
     The bound is on labels only; rows are taken by a hash of doc_id. Two thirds give the weights,
-    Wilson's lower bound of the toxic share among documents with a word or beginning, the rest
+    Wilson's lower bound of the toxic share among documents with a word or beginning where that is
+    at least ``lift`` times the share among all (and a tenth): less is no sign of toxicity. The rest
     turns the largest weight of a text into a share. The character model counts all documents.
     Labels that are null are left out; a doc_id with several labels is toxic if one says so.
     """
@@ -307,8 +320,9 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, z:
     counts = sample.where(~calibration).select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic int, n long")
     counts = counts.groupBy("feature").agg(F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum("n").alias("n")).where("t >= 3")
     weight = _lower_bound(F.col("t"), F.col("n"), z)
+    usual = sample.agg(F.avg("toxic")).first()[0] or 0.0
     # As many as the labelled rows have beginnings of words in three toxic rows or more.
-    weights = {r.feature: r.weight for r in counts.select("feature", weight.alias("weight")).where("weight >= 0.1").collect()}
+    weights = {r.feature: r.weight for r in counts.select("feature", weight.alias("weight")).where(F.col("weight") >= max(0.1, min(0.5, lift * usual))).collect()}
     grams = {r.gram: r.n for r in character_counts(docs).collect()}
     bc = spark.sparkContext.broadcast((weights, CharModel(grams)))
     scored = sample.where(calibration).select("doc_id", "text", "toxic").mapInArrow(_raw_scores(bc), "doc_id long, toxic int, raw double")
@@ -333,6 +347,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> D
 
 def clean_documents(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text scores below ``threshold``; null texts stay."""
+    small_batches(docs.sparkSession)
     bc = docs.sparkSession.sparkContext.broadcast((model.weights, CharModel(model.grams)))
     curve = ToxicityModel({}, {}, model.curve)
 
