@@ -90,24 +90,13 @@ def to_u256(text: Column) -> Column:
     return F.pandas_udf(_u256, T.BinaryType())(text)
 
 
-def u256_to_text(value: Column) -> Column:
-    """32 bytes as a decimal text: eight words of 32 bits are taken into nine limbs of nine digits."""
-    base, word = 1_000_000_000, 1 << 32
-
-    def add(limbs: Column, at: Column) -> Column:
-        # Each limb times 2**32 plus what comes from below stays under 2**63.
-        start = F.struct(F.array().cast("array<bigint>").alias("out"), F.conv(F.hex(F.substring(value, at, F.lit(4))), 16, 10).cast("long").alias("carry"))
+def _u256_text(value: pd.Series) -> pd.Series:
+    return value.map(lambda b: str(int.from_bytes(b, "big")), na_action="ignore")
 
-        def up(s: Column, x: Column) -> Column:
-            total = x * word + s["carry"]
-            return F.struct(F.array_append(s["out"], total % base).alias("out"), F.call_function("div", total, F.lit(base).cast("long")).alias("carry"))
 
-        return F.aggregate(limbs, start, up)["out"]
-
-    limbs = F.aggregate(F.array(*(F.lit(k) for k in range(1, 32, 4))), F.array_repeat(F.lit(0).cast("long"), 9), add)
-    digits = F.array_join(F.reverse(F.transform(limbs, lambda x: F.lpad(x.cast("string"), 9, "0"))), "")
-    trimmed = F.ltrim(digits, F.lit("0"))
-    return F.when(value.isNotNull(), F.when(trimmed == "", "0").otherwise(trimmed))
+def u256_to_text(value: Column) -> Column:
+    """32 bytes, big-endian, as a decimal text; Spark's numbers end at 38 digits."""
+    return F.pandas_udf(_u256_text, T.StringType())(value)
 
 
 def cell_text(name: str, kind: T.DataType) -> Column:

@@ -16,14 +16,16 @@ def write_parquet(df: DataFrame, path: str, *, partition_columns: str | None = N
     one column ``segment`` with the percent-encoded path, which also tells empty text from null and
     allows all columns as partition columns. An empty table writes no rows.
     """
+    rows, names = laid_out(df, partition_columns, exact_paths)
+    rows.write.mode("append").partitionBy(*names).parquet(path.rstrip("/"))
+
+
+def laid_out(df: DataFrame, partition_columns: str | None, exact_paths: bool) -> tuple[DataFrame, list[str]]:
+    """Rows, and the columns whose values make their directories."""
     names = parse_partition_columns(partition_columns, df.schema)
-    path = path.rstrip("/")
-    if not names:
-        df.write.mode("append").parquet(path)
-    elif exact_paths:
-        df.withColumn("segment", hive_path_segment(names)).write.mode("append").partitionBy("segment").parquet(path)
-    else:
-        df.write.mode("append").partitionBy(*names).parquet(path)
+    if names and exact_paths:
+        return df.withColumn("segment", hive_path_segment(names)), ["segment"]
+    return df, list(names or [])
 
 
 def partition_counts(df: DataFrame, columns: list[str]) -> DataFrame:

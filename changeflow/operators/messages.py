@@ -52,11 +52,13 @@ def route(df: DataFrame, template: str, *, as_col: str = "stream") -> DataFrame:
     return df.withColumn(as_col, route_name(template, df.columns))
 
 
-def route_runs(df: DataFrame, *, order: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
+def route_runs(df: DataFrame, *, order: tuple[str, ...], by: tuple[str, ...]) -> DataFrame:
     """``stream, first, last, n_rows``: neighbours of one stream in the order, within each group of ``by``.
 
-    ``by`` (a source partition, for example) is what has an order of its own; without it there is one sequence.
+    ``by`` (a source partition, for example) is what has an order of its own; it is required, since one sequence of all rows would be one task.
     """
+    if not by:
+        raise ValueError("runs need the columns within which rows have an order")
     group = Window.partitionBy(*by)
     seen = group.orderBy(*order)
     mine = Window.partitionBy(*by, "stream").orderBy(*order)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 LARGEST = 2**63 - 1
-#: Rows of a version table that may be broadcast; beyond, the joins shuffle.
-FEW = 1_000_000
 
 
 def positions(df: DataFrame) -> DataFrame:
@@ -35,20 +34,40 @@ def catalog_diff(listed: DataFrame, known: DataFrame, exact: tuple[str, ...] = (
     return new.union(gone)
 
 
-def schema_asof(events: DataFrame, versions: DataFrame) -> DataFrame:
+def schema_asof(events: DataFrame, versions: DataFrame, *, ranges: int = 64) -> DataFrame:
     """Events with ``snapshot_id``: the newest version of their table at or before their ``lsn``, null where none is.
 
-    Each table's versions become one sorted array (a table has few), so events are neither multiplied nor grouped.
+    Events and versions are sorted together within ranges of ``lsn`` of about equal numbers of events, so a table that holds
+    most events is spread over ``ranges`` groups; each table's newest version is carried over from range to range.
     """
-    lists = versions.groupBy("tbl").agg(F.array_sort(F.collect_set("snapshot_id")).alias("_versions"))
-    lists = F.broadcast(lists) if versions.limit(FEW + 1).count() <= FEW else lists
-    joined = events.join(lists, "tbl", "left")
-    return joined.withColumn("snapshot_id", F.array_max(F.filter("_versions", lambda v: v <= F.col("lsn")))).drop("_versions")
-
-
-def prune_versions(versions: DataFrame, retention: int) -> DataFrame:
-    """The newest version at or before the retention point and all newer; tables without such a version keep all."""
-    kept = versions.groupBy("tbl").agg(F.max(F.when(F.col("snapshot_id") <= retention, F.col("snapshot_id"))).alias("_kept"))
+    shares = [k / ranges for k in range(1, ranges)]
+    cuts = (events.agg(F.percentile_approx("lsn", shares)).first()[0] or []) if shares else []
+    at_range = lambda at: sum(((at >= c).cast("int") for c in sorted(set(cuts))), F.lit(0))
+    known = versions.select("tbl", F.col("snapshot_id").cast("long").alias("snapshot_id")).distinct()
+    asked = events.select("tbl", F.col("lsn").alias("_at"), F.struct(*events.columns).alias("_event"), F.lit(None).cast("long").alias("snapshot_id"))
+    given = known.select("tbl", F.col("snapshot_id").alias("_at"), F.lit(None).cast(asked.schema["_event"].dataType).alias("_event"), "snapshot_id")
+    rows = asked.unionByName(given).withColumn("_range", F.coalesce(at_range(F.col("_at")), F.lit(0)))
+    seen = Window.partitionBy("tbl", "_range").orderBy("_at", F.col("_event").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_own", F.last("snapshot_id", ignorenulls=True).over(seen)).where(F.col("_event").isNotNull())
+    newest = known.groupBy("tbl", at_range(F.col("snapshot_id")).alias("_range")).agg(F.max("snapshot_id").alias("_newest"))
+    each = known.select("tbl").distinct().select("tbl", F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("_range"))
+    before = Window.partitionBy("tbl").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = each.join(newest, ["tbl", "_range"], "left").select("tbl", "_range", F.max("_newest").over(before).alias("_carried"))
+    joined = found.join(carried, ["tbl", "_range"], "left")
+    version = F.when(F.col("_event.lsn").isNotNull(), F.coalesce("_own", "_carried"))
+    return joined.select(*(F.col(f"_event.{c}").alias(c) for c in events.columns), version.alias("snapshot_id"))
+
+
+def prune_versions(versions: DataFrame, retention: int | dict[str, int]) -> DataFrame:
+    """The newest version at or before the retention point and all newer; tables without such a version keep all.
+
+    ``retention`` is one point, or one for each table by name; tables that are not named keep all.
+    """
+    point = F.lit(retention) if not isinstance(retention, dict) else F.lit(None).cast("long")
+    if isinstance(retention, dict):
+        for name, at in retention.items():
+            point = F.when(F.col("tbl") == name, F.lit(at)).otherwise(point)
+    kept = versions.groupBy("tbl").agg(F.max(F.when(F.col("snapshot_id") <= point, F.col("snapshot_id"))).alias("_kept"))
     rows = versions.join(kept, "tbl").where(F.col("_kept").isNull() | (F.col("snapshot_id") >= F.col("_kept")))
     return rows.select(*versions.columns)
 

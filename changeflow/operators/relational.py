@@ -25,17 +25,24 @@ def merge_statements(table: str, staging: str, columns: list[str], keys: list[st
     else:
         change = ", ".join(f"`{c}` = VALUES(`{c}`)" for c in rest)
     return [
-        f"DELETE t FROM `{table}` t JOIN `{staging}` s ON {same} WHERE s.`{op_col}` = 'd'",
+        f"DELETE t FROM `{table}` t JOIN `{staging}` s ON {same} WHERE s.`{op_col}` = 'd'" + (" OR s.`_cleared`" if on_conflict == "nothing" else ""),
         f"INSERT INTO `{table}` ({names}) SELECT {names} FROM `{staging}` s WHERE s.`{op_col}` <> 'd' ON DUPLICATE KEY UPDATE {change}",
     ]
 
 
 def last_operations(changes: DataFrame, keys: list[str], *, on_conflict: str = "update", order: tuple[str, ...] = ORDER, op_col: str = OP) -> DataFrame:
-    """One row for each key of the changes, deletes included: what is left to do to the table."""
+    """One row for each key of the changes, deletes included: what is left to do to the table.
+
+    With ``nothing``, ``_cleared`` tells keys that were deleted before the row that is staged: the row in the table goes first.
+    """
     live = (latest_by_key if on_conflict == "update" else first_by_key)(changes, keys, order=order, op_col=op_col)
     gone = changes.select(*keys).distinct().join(live.select(*keys), keys, "left_anti")
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in changes.schema.fields if f.name not in (*keys, op_col)]
-    return live.unionByName(gone.select(*keys, F.lit("d").alias(op_col), *empty))
+    rows = live.unionByName(gone.select(*keys, F.lit("d").alias(op_col), *empty))
+    if on_conflict == "update":
+        return rows
+    deleted = changes.where(F.col(op_col) == "d").select(*keys).distinct().withColumn("_cleared", F.lit(True))
+    return rows.join(deleted, keys, "left").withColumn("_cleared", F.coalesce("_cleared", F.lit(False))).select(*rows.columns, "_cleared")
 
 
 def stage(df: DataFrame, url: str, staging: str, *, batch_size: int = 1000, properties: dict[str, str] | None = None) -> None:

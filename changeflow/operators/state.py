@@ -81,3 +81,23 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], *, on_
     new = changes.select(*columns, op_col, F.lit(1).alias("_era"), *(F.col(c).alias(f"_o_{c}") for c in order))
     fold = latest_by_key if on_conflict == "update" else first_by_key
     return fold(old.unionByName(new), keys, order=("_era", *(f"_o_{c}" for c in order)), op_col=op_col).select(*columns)
+
+
+def fold_changes(state: DataFrame, changes: DataFrame, keys: list[str], *, on_conflict: str = "update", order: tuple[str, ...] = ORDER, op_col: str = OP) -> DataFrame:
+    """Change rows that stand for all rows of both, whatever order they came in and however often.
+
+    ``update``: the last row of each key, a delete included. ``nothing``: each key's last delete and all writes after it, since
+    a delete that comes late can bring back the write after it. ``latest_by_key`` or ``first_by_key`` of the result is the table.
+    """
+    if on_conflict not in ("update", "nothing"):
+        raise ValueError(f"on_conflict must be update or nothing, not {on_conflict!r}")
+    rows = state.unionByName(changes.select(*state.columns))
+    require_op(rows, op_col)
+    at = F.struct(*order)
+    if on_conflict == "update":
+        rest = [c for c in rows.columns if c not in keys]
+        last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), at).alias("_last"))
+        return last.select(*(F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in rows.columns))
+    gone = rows.where(F.col(op_col) == "d").groupBy(*keys).agg(F.max(at).alias("_gone"))
+    kept = rows.join(gone, keys, "left").where(F.col("_gone").isNull() | (at >= F.col("_gone")))
+    return kept.select(*rows.columns).dropDuplicates([*keys, *order])

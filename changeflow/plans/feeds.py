@@ -33,7 +33,7 @@ union all select o_orderkey, o_orderkey*10+3, 'public.orders', 'delete', null, n
 """
 
 ENVELOPE = """
-select event_id, event_type, concat('events/', event_type) as stream, cast(row_number() over (partition by event_type order by event_id) - 1 as bigint) as seq_num, ts,
+select event_id, event_type, concat('events/', event_type) as stream, cast(event_id as bigint) as seq_num, ts,
        case when event_id % 50 = 0 then 'bogus' when event_id % 5 = 1 then 'c' when event_id % 5 = 2 then 'u'
             when event_id % 5 = 3 then 'd' when event_id % 5 = 4 then 'r' end as dbz_op,
        case when event_id % 97 = 1 then 'not json'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from changeflow.functions.columns import LAST_MILLIS
 from changeflow.plans.feeds import CHANGES, ENVELOPE, FULL_CHANGES
 
 _ENV = f"with e as ({ENVELOPE}), r as (select *, case dbz_op when 'u' then 'u' when 'd' then 'd' else 'i' end as op from e)"
@@ -23,7 +24,7 @@ def _encoded(column: str) -> str:
     return f"url_encode({column})"
 
 
-_VERSIONS = "v as (select 'public.orders' as tbl, min(o_orderkey) * 10 as snapshot_id from orders where o_custkey % 50 = 0 group by o_custkey)"
+_VERSIONS = "v as (select 'public.orders' as tbl, min(o_orderkey) * 10 as snapshot_id from orders group by o_custkey)"
 
 ORACLE_SQL = {
     "envelope_raw": _ENV + """ select op, stream, seq_num, ts as "timestamp", case when dbz_op is not null then '{"dbz.op":"' || dbz_op || '"}' end as headers, body from r""",
@@ -72,8 +73,9 @@ ORACLE_SQL = {
       select source, stream, min(event_id) as first, max(event_id) as last, count(*) as n_rows from s group by source, stream, run""",
     "batched_messages": """with n as (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as i from events)
       select user_id, i // 10 as batch, count(*) as n_messages, string_agg('{"user_id":' || user_id || ',"event_id":' || event_id || '}', '|' order by i) as bodies from n group by user_id, i // 10""",
-    "u256_text": "select event_id, case when event_id % 2 = 0 then cast(event_id as varchar) else '78' end as text from events",
-    "u256_round_trip": "select event_id, '1157920892373161954235709850086879078532699846656405640394575840079131296' || lpad(cast(event_id as varchar), 5, '0') as text, text as back from events",
+    "u256_text": "select event_id, cast(event_id as varchar) as small, '115792089237316195423570985008687907852929702298719625575994' || cast(209400481361428480 + event_id as varchar) as large from events",
+    "u256_round_trip": """with t as (select event_id, '115792089237316195423570985008687907853269984665640564039457' || lpad(cast(584007913129639935 - event_id as varchar), 18, '0') as text from events)
+      select event_id, text, repeat('f', 48) || lower(hex(18446744073709551615::ubigint - event_id::ubigint)) as raw, text as back from t""",
     "hashed_names": "select p_partkey, cast(('0x' || substr(sha256(p_name), 1, 16))::ubigint as varchar) as id from part",
     "next_positions": _ENV + " select stream, max(seq_num) + 1 as next_seq from r group by stream",
     "progress_merge": _ENV + """, old as (select stream, max(seq_num + case when stream = 'events/view' then 100000 else -3 end) + 1 as n from r where event_id % 2 = 0 and stream <> 'events/click' group by stream),
@@ -81,6 +83,15 @@ ORACLE_SQL = {
     "stream_catalog_diff": _ENV + """, l as (select distinct stream from r where stream <> 'events/view'), k as (select distinct unnest([stream, stream || '-gone', 'events/pinned']) as stream from r where stream in ('events/click', 'events/view'))
       select stream, 'new' as change from l where stream not in (select stream from k) union all select stream, 'removed' from k where stream not in (select stream from l) and stream <> 'events/pinned'""",
     "versions_asof": _CH + f", {_VERSIONS} select c.tbl, c.k, c.lsn, c.kind, v.snapshot_id from c asof left join v on c.tbl = v.tbl and c.lsn >= v.snapshot_id",
-    "versions_pruned": f"with {_VERSIONS} select tbl, snapshot_id from v where snapshot_id >= coalesce((select max(snapshot_id) from v where snapshot_id <= 5000), 0)",
+    "versions_pruned": f"with {_VERSIONS} select tbl, snapshot_id from v where snapshot_id >= coalesce((select max(snapshot_id) from v where snapshot_id <= 5000), 0) union all select 'public.customer', snapshot_id from v",
+    "lossy_bodies": "select event_id, case when event_id % 3 = 0 then event_type || chr(65533) || 'A' || chr(65533) else event_type end as body from events",
+    "clamped_timestamps": f"select event_id, case when event_id % 4 = 0 then {LAST_MILLIS} else epoch_us(ts) // 1000 end as millis from events",
+    "split_operations": _IMAGES + " select case op when 'd' then 'gone' else 'put' end as part, k, lsn from n",
+    "body_sizes": _IMAGES + """, b as (select '{"k":' || k || ',"lsn":' || lsn || '}' as body from n) select 'orders' as stream, strlen(body) as n_bytes, body from b""",
+    "staged_ignores": _IMAGES + """, x as (select *, max(lsn) filter (op = 'd') over (partition by k) as gone from n),
+      live as (select * from x where op <> 'd' and lsn > coalesce(gone, -1) qualify row_number() over (partition by k order by lsn) = 1)
+      select k, op, gone is not null as cleared, status from live union all select distinct k, 'd', true, null from n where k not in (select k from live)""",
     "deduped_replay": _ENV + " select stream, seq_num, event_id from r",
 }
+
+ORACLE_SQL["folded_log"] = ORACLE_SQL["current_state"]

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.functions.columns import hash_name, hive_path_segment, to_u256, u256_to_text
+from changeflow.functions.columns import clamp_timestamp, hash_name, hive_path_segment, lossy_utf8, to_u256, u256_to_text
 from changeflow.operators.layout import partition_counts
 from changeflow.operators.messages import message_batches, render_relational, route, route_runs, row_to_json, to_log_records
 from changeflow.operators.progress import catalog_diff, dedupe_replay, merge_positions, positions, prune_versions, schema_asof
-from changeflow.operators.state import apply_changes, change_counts, first_by_key, latest_by_key, retract_agg
+from changeflow.operators.relational import last_operations
+from changeflow.operators.state import apply_changes, change_counts, first_by_key, fold_changes, latest_by_key, retract_agg, split_ops
 from changeflow.plans.feeds import FULL_ORDERS, ORDERS, changes, envelope
 from changeflow.sources.changes import align_by_name, changes_for, coerce, normalize_changes, snapshot_rows, to_text, unclaimed_tables, with_snapshot
 from changeflow.sources.envelope import decode_json, from_position, malformed_rows, select_streams
@@ -265,18 +266,18 @@ def batched_messages(spark, sf_dir):
 
 @query
 def u256_text(spark, sf_dir):
+    """Small numbers, and 2**256 - 2**128 plus them."""
     rows = _table(spark, sf_dir, "events").select("event_id", F.lpad(F.hex("event_id"), 64, "0").alias("digits"))
     large = F.concat(F.lit("f" * 32), F.substring("digits", 33, 32))
-    rows = rows.select("event_id", F.when(F.col("event_id") % 2 == 0, F.unhex("digits")).otherwise(F.unhex(large)).alias("value"))
-    text = rows.select("event_id", u256_to_text(F.col("value")).alias("text"))
-    return text.select("event_id", F.when(F.col("event_id") % 2 == 0, F.col("text")).otherwise(F.length("text").cast("string")).alias("text"))
+    return rows.select("event_id", u256_to_text(F.unhex("digits")).alias("small"), u256_to_text(F.unhex(large)).alias("large"))
 
 
 @query
 def u256_round_trip(spark, sf_dir):
-    text = F.concat(F.lit("1157920892373161954235709850086879078532699846656405640394575840079131296"), F.lpad(F.col("event_id").cast("string"), 5, "0"))
-    rows = _table(spark, sf_dir, "events").select("event_id", text.alias("text"))
-    return rows.withColumn("raw", to_u256(F.col("text"))).select("event_id", "text", u256_to_text(F.col("raw")).alias("back"))
+    """2**256 - 1 less the event's number, to bytes and back."""
+    low = F.lpad((F.lit(584007913129639935) - F.col("event_id")).cast("string"), 18, "0")
+    rows = _table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("115792089237316195423570985008687907853269984665640564039457"), low).alias("text"))
+    return rows.withColumn("raw", to_u256(F.col("text"))).select("event_id", "text", F.lower(F.hex("raw")).alias("raw"), u256_to_text(F.col("raw")).alias("back"))
 
 
 @query
@@ -305,8 +306,8 @@ def stream_catalog_diff(spark, sf_dir):
 
 
 def _versions(spark, sf_dir) -> DataFrame:
-    """Schema versions at the first order of every customer that is a multiple of 50."""
-    orders = _table(spark, sf_dir, "orders").where("o_custkey % 50 = 0")
+    """Schema versions at the first order of every customer."""
+    orders = _table(spark, sf_dir, "orders")
     return orders.groupBy("o_custkey").agg((F.min("o_orderkey") * 10).alias("snapshot_id")).select(F.lit("public.orders").alias("tbl"), "snapshot_id")
 
 
@@ -317,7 +318,53 @@ def versions_asof(spark, sf_dir):
 
 @query
 def versions_pruned(spark, sf_dir):
-    return prune_versions(_versions(spark, sf_dir), 5000)
+    """One table is pruned at its own point, the other keeps all versions."""
+    both = _versions(spark, sf_dir)
+    return prune_versions(both.union(both.select(F.lit("public.customer"), "snapshot_id")), {"public.orders": 5000})
+
+
+@query
+def lossy_bodies(spark, sf_dir):
+    """Bodies with bytes that are no UTF-8, as text."""
+    rows = _table(spark, sf_dir, "events")
+    body = F.when(F.col("event_id") % 3 == 0, F.concat(F.col("event_type").cast("binary"), F.unhex(F.lit("FF41C3")))).otherwise(F.col("event_type").cast("binary"))
+    return rows.select("event_id", lossy_utf8(body).alias("body"))
+
+
+@query
+def clamped_timestamps(spark, sf_dir):
+    """Milliseconds as timestamps; those beyond the range stay at its end."""
+    rows = _table(spark, sf_dir, "events")
+    millis = F.unix_millis(F.col("ts").cast("timestamp")) + F.when(F.col("event_id") % 4 == 0, F.lit(2**62)).otherwise(0)
+    return rows.select("event_id", F.unix_millis(clamp_timestamp(millis)).alias("millis"))
+
+
+@query
+def split_operations(spark, sf_dir):
+    """Upserts and deletes as a sink takes them."""
+    puts, gone = split_ops(_orders(spark, sf_dir))
+    return puts.select(F.lit("put").alias("part"), "k", "lsn").union(gone.select(F.lit("gone"), "k", "lsn"))
+
+
+@query
+def body_sizes(spark, sf_dir):
+    """Records within the size limit; longer ones would be an error."""
+    rows = _orders(spark, sf_dir).select("_op", "k", "lsn")
+    return to_log_records(rows, stream="orders", max_bytes=64).select("stream", F.octet_length("body").cast("long").alias("n_bytes"), "body")
+
+
+@query
+def staged_ignores(spark, sf_dir):
+    """What insert-ignore leaves to do to a table, keys that were deleted before marked."""
+    return last_operations(_orders(spark, sf_dir), ["k"], on_conflict="nothing").select("k", F.col("_op").alias("op"), F.col("_cleared").alias("cleared"), "status")
+
+
+@query
+def folded_log(spark, sf_dir):
+    """The state of a change log that arrives in two parts, the later one first."""
+    rows = _orders(spark, sf_dir)
+    state = fold_changes(rows.where("lsn % 10 >= 2"), rows.where("lsn % 10 < 2"), ["k"])
+    return _shown(latest_by_key(state, ["k"])).drop("seq")
 
 
 @query

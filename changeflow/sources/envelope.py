@@ -30,16 +30,19 @@ def select_streams(df: DataFrame, *, streams: str | list[str] | None = None, str
     return df.where(wanted)
 
 
-def from_position(df: DataFrame, positions: DataFrame | None = None, *, start_position: str = "earliest") -> DataFrame:
+def from_position(df: DataFrame, positions: DataFrame | None = None, *, start_position: str = "earliest", tails: DataFrame | None = None) -> DataFrame:
     """Records at or after each stream's saved position ``(stream, next_seq)``.
 
-    Streams without one start at their first record, or at their tail (as the table is now) for ``latest``.
+    Streams without one start at their first record, or at their tail for ``latest``: that of ``tails``
+    (``stream, next_seq``), which a streaming query has to give, or of the table as it is now. Streams found later start at their first record.
     """
     if start_position not in ("earliest", "latest"):
         raise ValueError(f"start_position must be earliest or latest, not {start_position!r}")
     saved = None if positions is None else positions.select("stream", F.col("next_seq").cast("long").alias("_saved"))
     if start_position == "latest":
-        tails = df.groupBy("stream").agg((F.max("seq_num") + 1).alias("_tail"))
+        if tails is None and df.isStreaming:
+            raise ValueError("a streaming query that starts at the latest records needs tails")
+        tails = df.groupBy("stream").agg((F.max("seq_num") + 1).alias("_tail")) if tails is None else tails.select("stream", F.col("next_seq").alias("_tail"))
         starts = tails if saved is None else tails.join(saved, "stream", "full")
         start = F.col("_tail") if saved is None else F.coalesce("_saved", "_tail")
         starts = starts.select("stream", start.alias("_from"))

@@ -1,15 +1,17 @@
-"""Wiring of the operators into Structured Streaming: log streams in and out, merged tables, counters."""
+"""Wiring of the operators into Structured Streaming: log streams in, all sinks, merged tables, counters."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from changeflow.operators.state import ORDER, apply_changes
+from changeflow.operators.layout import laid_out
+from changeflow.operators.messages import send_messages
+from changeflow.operators.relational import last_operations
+from changeflow.operators.state import ORDER, first_by_key, fold_changes, latest_by_key
 
 HEADER = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 RECORD = T.StructType([
@@ -31,72 +33,56 @@ def read_log_stream(spark: SparkSession, path: str, *, schema: T.StructType = RE
     return reader.parquet(path)
 
 
-def write_log_stream(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def _started(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    """``trigger`` as Spark's own, such as ``{"processingTime": "10 seconds"}``; without it, all that is there and then an end."""
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def write_log_stream(records: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
     """Append records to a Parquet log; a batch counts as done once all its files are committed."""
-    return records.writeStream.format("parquet").partitionBy("stream").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _started(records.writeStream.format("parquet").partitionBy("stream").option("path", path), checkpoint, trigger)
+
+
+def batch_stream(rows: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
+    """Hands each batch to a batch sink. A batch that failed comes again, so a sink gets rows at least once."""
+    return _started(rows.writeStream.foreachBatch(lambda batch, _: write(batch)), checkpoint, trigger)
+
+
+def parquet_stream(rows: DataFrame, path: str, checkpoint: str, *, partition_columns: str | None = None, exact_paths: bool = False, trigger: dict | None = None) -> StreamingQuery:
+    """Parquet files in Hive layout, each row once."""
+    rows, names = laid_out(rows, partition_columns, exact_paths)
+    return _started(rows.writeStream.format("parquet").partitionBy(*names).option("path", path), checkpoint, trigger)
+
+
+def message_stream(rows: DataFrame, sender: Callable[[], Callable], checkpoint: str, *, size: int = 10, retries: int = 5, trigger: dict | None = None) -> StreamingQuery:
+    """Rows as queue messages."""
+    return batch_stream(rows, lambda batch: send_messages(batch, sender, size=size, retries=retries), checkpoint, trigger=trigger)
 
 
-class MergedTable:
-    """A keyed Parquet table that streams of changes are merged into.
+def relational_stream(changes: DataFrame, stage_and_merge: Callable[[DataFrame], None], keys: list[str], checkpoint: str, *, on_conflict: str = "update", order: tuple[str, ...] = ORDER, trigger: dict | None = None) -> StreamingQuery:
+    """One row a key of each batch, with its order: for ``stage`` and the statements, or the MERGE of a table format.
 
-    Each batch writes a new version folder and then one small text file that names it; readers take
-    the last named version. A batch that is replayed after its version was named is passed over, one
-    that failed before is written again, so each batch takes effect once.
+    Records of one key that come in several batches in another order need a merge that compares the order; ``append_changes`` does.
     """
+    return batch_stream(changes, lambda batch: stage_and_merge(last_operations(batch, keys, on_conflict=on_conflict, order=order)), checkpoint, trigger=trigger)
+
+
+def append_changes(changes: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
+    """A keyed table that is merged when it is read: changes are appended, each once, and ``merged`` folds them.
+
+    The result doesn't depend on the order in which files, streams or batches come, since each row brings its own.
+    """
+    return _started(changes.writeStream.format("parquet").option("path", path), checkpoint, trigger)
+
+
+def merged(log: DataFrame, keys: list[str], *, on_conflict: str = "update", order: tuple[str, ...] = ORDER) -> DataFrame:
+    """The rows of a table of appended changes."""
+    return (latest_by_key if on_conflict == "update" else first_by_key)(log, keys, order=order)
+
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def _files(self):
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_named")
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
-    def last(self) -> dict | None:
-        files, where = self._files()
-        if not files.exists(where):
-            return None
-        names = sorted((f.getPath().getName() for f in files.listStatus(where) if f.getPath().getName().isdigit()), key=int)
-        if not names:
-            return None
-        text = self.spark.read.text(f"{self.path}/_named/{names[-1]}").first()[0]
-        return json.loads(text)
-
-    def read(self) -> DataFrame:
-        last = self.last()
-        if last is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{last['folder']}")
-
-    def _name(self, batch: int, folder: str) -> None:
-        # Written beside and renamed, so that no reader sees half a file.
-        files, where = self._files()
-        jvm = self.spark._jvm
-        files.mkdirs(where)
-        part = jvm.org.apache.hadoop.fs.Path(where, f".{batch}.part")
-        out = files.create(part, True)
-        out.write(bytearray(json.dumps({"batch": batch, "folder": folder}).encode()))
-        out.close()
-        files.rename(part, jvm.org.apache.hadoop.fs.Path(where, str(batch)))
-
-    def merge(self, changes: DataFrame, batch: int, keys: list[str], *, on_conflict: str = "update", order: tuple[str, ...] = ORDER) -> bool:
-        """Apply a batch; False if it is in the table already."""
-        last = self.last()
-        if last is not None and last["batch"] >= batch:
-            return False
-        merged = apply_changes(self.read(), changes, keys, on_conflict=on_conflict, order=order)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v{batch}")
-        self._name(batch, f"v{batch}")
-        return True
-
-
-def merge_stream(changes: DataFrame, table: MergedTable, keys: list[str], checkpoint: str, *, on_conflict: str = "update", order: tuple[str, ...] = ORDER) -> StreamingQuery:
-    """Merge all changes that are there into the table, batch by batch."""
-
-    def one(batch: DataFrame, number: int) -> None:
-        table.merge(batch, number, keys, on_conflict=on_conflict, order=order)
-
-    return changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def compact(log: DataFrame, path: str, keys: list[str], *, on_conflict: str = "update", order: tuple[str, ...] = ORDER) -> None:
+    """Write the changes that still count to a new folder, to be read together with what is appended afterwards."""
+    fold_changes(log.limit(0), log, keys, on_conflict=on_conflict, order=order).write.parquet(path)
 
 
 class Counters(StreamingQueryListener):

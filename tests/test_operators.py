@@ -1,3 +1,4 @@
+import random
 import pytest
 from changeflow.operators.layout import partition_counts, write_parquet
 from changeflow.operators.messages import SendError, deliver, message_batches, render_relational, route_runs, row_to_json, to_log_records
@@ -101,8 +102,10 @@ def test_log_records(spark):
 
 
 def test_runs(spark):
-    df = spark.createDataFrame(list(enumerate("aabba")), "seq long, stream string")
-    assert rows(route_runs(df, order=("seq",))) == [("a", 0, 1, 2), ("a", 4, 4, 1), ("b", 2, 3, 2)]
+    df = spark.createDataFrame([(k, c, "one") for k, c in enumerate("aabba")], "seq long, stream string, source string")
+    assert rows(route_runs(df, order=("seq",), by=("source",)).drop("source")) == [("a", 0, 1, 2), ("a", 4, 4, 1), ("b", 2, 3, 2)]
+    with pytest.raises(ValueError):
+        route_runs(df, order=("seq",), by=())
 
 
 def test_batches(spark):
@@ -145,6 +148,44 @@ def test_versions(spark):
     assert rows(schema_asof(asked, versions)) == [("none", 9, None), ("t", 250, 200), ("t", 300, 300), ("t", 50, None)]
     assert rows(prune_versions(versions, 250)) == [("t", 200), ("t", 300), ("u", 500)]
     assert prune_versions(versions, 10).count() == 4
+    assert rows(prune_versions(versions, {"t": 250, "gone": 1})) == [("t", 200), ("t", 300), ("u", 500)]
+    assert prune_versions(versions, {"u": 900}).count() == 4
+
+
+def test_versions_by_brute_force(spark):
+    rng = random.Random(2)
+    versions = [(rng.choice("ab"), rng.randrange(60)) for _ in range(25)]
+    events = [(rng.choice("abc"), rng.choice([None, *range(70)]), k) for k in range(300)]
+    got = schema_asof(spark.createDataFrame(events, "tbl string, lsn long, snapshot_id0 long"), spark.createDataFrame(versions, "tbl string, snapshot_id long"), ranges=7).collect()
+    assert len(got) == 300
+    for tbl, lsn, _, found in got:
+        assert found == max((v for t, v in versions if t == tbl and lsn is not None and v <= lsn), default=None)
+    none = spark.createDataFrame([], "tbl string, lsn long")
+    assert schema_asof(none, spark.createDataFrame(versions, "tbl string, snapshot_id long")).count() == 0
+
+
+def test_relational_statements_do_what_changes_do(spark):
+    from changeflow.operators.relational import last_operations, merge_statements
+
+    """Staged rows and the two statements, acted out on a dict, against the same changes applied."""
+    rng = random.Random(6)
+    for on_conflict in ("update", "nothing"):
+        for _ in range(4):
+            target = {k: f"t{k}" for k in range(0, 12, 2)}
+            changes = [(rng.choice("iud"), n, 0, rng.randrange(12), f"c{n}") for n in range(20)]
+            df = spark.createDataFrame(changes, "_op string, lsn long, ord long, id long, v string")
+            staged = last_operations(df, ["id"], on_conflict=on_conflict).collect()
+            gone, put = merge_statements("t", "s", ["id", "v"], ["id"], on_conflict=on_conflict)
+            assert ("_cleared" in gone) == (on_conflict == "nothing")
+            table = dict(target)
+            for r in staged:
+                if r._op == "d" or on_conflict == "nothing" and r._cleared:
+                    table.pop(r.id, None)
+            for r in staged:
+                if r._op != "d" and (on_conflict == "update" or r.id not in table):
+                    table[r.id] = r.v
+            want = apply_changes(spark.createDataFrame(list(target.items()), "id long, v string"), df, ["id"], on_conflict=on_conflict).collect()
+            assert table == {r.id: r.v for r in want}
 
 
 def test_relational(spark):
