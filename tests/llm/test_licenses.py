@@ -1,7 +1,7 @@
 import math
 import re
 
-from changeflow.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, oracle_sql, scan
+from changeflow.llm.licenses import DECIDING, EXCLUDED, PHRASES, SPAN, TEMPLATES, THRESHOLD, oracle_sql, scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -14,11 +14,12 @@ def brute(text):
     w = WORD.findall(lower(text))
     places = [(i, label) for p, label in PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     more, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        have = set(WORD.findall(lower(line)))
+    lines = (text or "").split("\n")
+    for block in [*lines, *("\n".join(lines[i : i + SPAN]) for i in range(len(lines)))]:
+        have = set(WORD.findall(lower(block)))
         for label, t in TEMPLATES:
             need = set(WORD.findall(lower(t)))
-            if len(have & need) >= math.ceil(THRESHOLD * len(need) - 1e-9):
+            if need & set(DECIDING.get(label, "").split()) <= have and not have & set(EXCLUDED.get(label, "").split()) and len(have & need) >= math.ceil(THRESHOLD * len(need) - 1e-9):
                 more.add(label)
                 best = max(best, len(have & need) / len(need))
     at = [i for i, _ in places]
@@ -30,6 +31,7 @@ TEXTS = [
     None, "", "  ..\n ", "MIT License mit-license MIT\nLicense", "cc by cc by-nc CC BY", "This work is licensed under the GNU General Public License, version 3.",
     "Licensed under the Apache License, Version 2.0.\nmore words", "Redistribution and use in source or binary forms with or without modification are permitted if the following conditions are met",
     "mit licensee, apache  license!", "the of and to in by or " * 500, "word " * 60000 + "mit license", "É mit license Ümit license", "mit\x00license", "subject to the terms of some Mozilla Public License",
+    "Permission is hereby granted, free of\ncharge, to any person obtaining a copy of this software\nand associated documentation files (the MIT License)", "under the terms of\nthe GNU Lesser General\nPublic License\nas published by the Free Software Foundation",
     *(t for _, t in TEMPLATES),
 ]
 
@@ -54,6 +56,17 @@ def test_oracle(spark, tmp_path):
     assert [tuple(r) for r in c.execute(sql).fetchall()] == [(i, *brute(t)) for i, t in enumerate(texts)]
 
 
+def test_notices_get_their_own_label(spark):
+    lines = {
+        "Released under the MIT License.": "mit,mit-notice", "Released under the BSD License": "bsd", "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc", "Licensed under CC BY-SA 4.0": "cc-by,cc-by-sa",
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation": "agpl",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation": "gpl,gpl-notice",
+        "you can redistribute it and/or modify it\nunder the terms of the GNU Lesser General Public License\nas published by the Free Software Foundation": "lgpl",
+    }
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert [r.labels for r in scan(df).orderBy("doc_id").collect()] == list(lines.values())
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(None, "mit license"), (1, "mit license"), (1, "mit license")], "doc_id long, text string")
     assert [r.labels for r in scan(df).collect()] == ["mit"] * 3
