@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,17 +34,24 @@ CLOSES_SAME = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd
 UNLIKELY = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar comment comments commentlist disqus reply replies respond footer header masthead nav navbar navigation menu breadcrumb breadcrumbs cookie cookies consent notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget toolbar pagination pager search hidden skip tags".split()
 )
+#: Names that begin with these tell what else is on the page.
+STATES = frozenset("has with without no".split())
 LIKELY = frozenset("article body content entry main page post story text blog".split())
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
 
+#: An ancestor gets a paragraph's points divided by this, by its distance; all further ones by the last.
+SHARES = (1, 2, 6, 9, 12)
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "unlikely", "likely", "points", "n_text", "n_link")
+    __slots__ = ("tag", "parent", "children", "unlikely", "likely", "points", "n_text", "n_link", "below")
 
     def __init__(self, tag: str, parent: Node | None, source: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
         self.unlikely = self.likely = False
         self.points, self.n_text, self.n_link = 0.0, 0, 0
+        self.below = [0.0] * len(SHARES)  # points of paragraphs one, two, ... levels down, the last of all further ones
         for key, value in _MARKS.findall(source):
             key, value = key.lower(), value.strip("\"'").lower()
             if key == "style":
@@ -51,15 +59,26 @@ class Node:
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
                 self.unlikely = True
             else:
-                words = set(SPLIT.split(value))
-                self.unlikely |= bool(words & UNLIKELY)
-                self.likely |= bool(words & LIKELY)
+                names = [[w for w in SPLIT.split(name) if w] for name in value.split()]
+                names = [set(words) for words in names if words and words[0] not in STATES]
+                unlikely = [words for words in names if words & UNLIKELY]
+                # "post-comments" is no post; "post category-search" is one, "post comments" isn't.
+                likely = any(words & LIKELY and not words & UNLIKELY for words in names)
+                self.unlikely |= bool(unlikely) and not (likely and all(words - UNLIKELY for words in unlikely))
+                self.likely |= likely
 
 
 def parse(page: str) -> Node:
     """The element tree; unclosed and stray tags are repaired, an unended tag at the end is dropped."""
     at, size, root = 0, len(page), Node("#root", None)
-    node = root
+    node, opened = root, Counter()
+
+    def leave(to: Node) -> None:
+        nonlocal node
+        while node is not to:
+            opened[node.tag] -= 1
+            node = node.parent
+
     while at < size:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -73,17 +92,18 @@ def parse(page: str) -> Node:
             continue
         tag = name.group(1).lower()
         if source[1] == "/":
-            up = node
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                node = up.parent
+            if opened[tag]:  # else a stray one
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                leave(up.parent)
             continue
-        if tag in CLOSES_P:
-            node = _close(node, ("p",), ("td", "th", "table", "button"))
+        if tag in CLOSES_P and opened["p"]:
+            leave(_close(node, ("p",), ("td", "th", "table", "button"), opened))
         if tag in CLOSES_SAME:
             closes, within = CLOSES_SAME[tag]
-            node = _close(node, tuple(closes.split()), within)
+            if any(opened[t] for t in closes.split()):
+                leave(_close(node, tuple(closes.split()), within, opened))
         child = Node(tag, node, source)
         node.children.append(child)
         if tag in RAW:
@@ -91,15 +111,16 @@ def parse(page: str) -> Node:
             at = end.end() if end else size
         elif tag not in VOID and not source.endswith("/>"):
             node = child
+            opened[tag] += 1
     return root
 
 
-def _close(node: Node, tags: tuple[str, ...], within: tuple[str, ...]) -> Node:
+def _close(node: Node, tags: tuple[str, ...], within: tuple[str, ...], opened: Counter) -> Node:
     """Leave the outermost open element of ``tags`` that isn't beyond one of ``within``."""
-    up, found = node, None
-    while up.parent is not None and up.tag not in within:
+    up, found, left = node, None, sum(opened[t] for t in tags)
+    while left and up.tag not in within:
         if up.tag in tags:
-            found = up
+            found, left = up, left - 1
         up = up.parent
     return found.parent if found is not None else node
 
@@ -107,7 +128,7 @@ def _close(node: Node, tags: tuple[str, ...], within: tuple[str, ...]) -> Node:
 def _dropped(node: Node, in_article: bool) -> bool:
     if node.tag in DROPPED or (node.tag == "header" and not in_article):
         return True
-    return node.unlikely and not node.likely and node.tag not in ("html", "body", "article", "main", "h1", "#root")
+    return node.unlikely and node.tag not in ("html", "body", "article", "main", "h1", "#root")
 
 
 def _blocks(node: Node) -> list[str]:
@@ -160,11 +181,12 @@ def _score(root: Node) -> list[Node]:
         commas[id(node)] = commas.get(id(node), 0) + sum(c.count(",") for c in node.children if isinstance(c, str))
         if node.tag in PARAGRAPHS and node.n_text >= 25:
             given = 1 + commas[id(node)] + min(node.n_text / 100, 3)
-            up, level = node.parent, 0
-            while up is not None:
-                up.points += given / (1, 2, 6, 9, 12)[min(level, 4)]
-                up, level = up.parent, level + 1
+        else:
+            given = 0.0
+        node.points += sum(x / share for x, share in zip(node.below, SHARES, strict=True))
         if node.parent is not None:
+            for k, x in enumerate([given, *node.below]):
+                node.parent.below[min(k, len(SHARES) - 1)] += x
             node.parent.n_text += node.n_text
             node.parent.n_link += node.n_link
             commas[id(node.parent)] = commas.get(id(node.parent), 0) + commas[id(node)]
