@@ -85,8 +85,12 @@ def _probes(tables: int, probes: int, seed: int):
 
 
 def distances(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Euclidean distances of two stacks of vectors row by row, in double precision."""
-    return np.sqrt(((q - v) ** 2).sum(axis=1))
+    """Euclidean distances of two stacks of vectors row by row, in double precision; scaled where squares would overflow or vanish."""
+    apart = q - v
+    most = np.abs(apart).max(axis=1, initial=0)
+    odd = (most > 0) & ((most > 1e150) | (most < 1e-150)) & np.isfinite(most)
+    scale = np.where(odd, most, 1.0)
+    return scale * np.sqrt(((apart / scale[:, None]) ** 2).sum(axis=1))
 
 
 def _rerank(keep: int):
@@ -97,9 +101,12 @@ def _rerank(keep: int):
             return pd.DataFrame({"query_cls": [], "cls": [], "score": []})
         q = np.stack([np.frombuffer(b) for b in queries["raw"]])
         v = np.stack([np.frombuffer(b) for b in rows["raw"]])
-        near = (q**2).sum(1)[:, None] + (v**2).sum(1)[None] - 2 * q @ v.T
+        # By the cell's largest component, so that no square overflows; what is small beside it then ties and is compared exactly.
+        scale = max(np.abs(q).max(), np.abs(v).max())
+        a, b = q / scale, v / scale
+        near = (a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T
         k = min(keep, len(v)) - 1
-        slack = 1e-9 * (np.abs(q).max() + np.abs(v).max()) ** 2
+        slack = 4e-9
         at, to = np.nonzero(near <= np.partition(near, k, axis=1)[:, k : k + 1] + slack)
         return pd.DataFrame({"query_cls": queries["cls"].to_numpy()[at], "cls": rows["cls"].to_numpy()[to], "score": distances(q[at], v[to])})
 
