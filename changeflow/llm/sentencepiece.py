@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from changeflow.llm.common import doc_texts
 
 SPACE = "▁"
-#: Chunks that a worker remembers; it bounds memory, not results.
+#: Chunks that a task remembers; it bounds memory, not results.
 MEMO = 400_000
 _WORKER: dict = {}
 
@@ -193,6 +193,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 ids = [vocabulary.encode(t.as_py()) for t in part.column(1)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype("i4")
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))), part.column(2)], names=["doc_id", "ids", "text_sha256"])
+        vocabulary.memo = {}  # the process goes on to other tasks
 
     return doc_texts(docs).withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256)).mapInArrow(run, "doc_id long, ids array<int>, text_sha256 string")
 

@@ -34,7 +34,7 @@ CHUNKS = (
 )
 SEGMENTS = "doc_id long, start long, n_tokens long, crc long, part_at long, part binary"
 
-#: A worker keeps this many encoded words, then starts afresh; it bounds memory, not results.
+#: A task keeps this many encoded words, then starts afresh; it bounds memory, not results.
 MEMO_WORDS = 1_200_000
 #: Texts of about this many characters are encoded together.
 GROUP_CHARS = 1_000_000
@@ -199,6 +199,7 @@ def _encode_shards(path: str, end_id: int, block_ids: int, planes: str, level: i
                     yield cut(block_ids)
         if n_held:
             yield cut(n_held)
+        encoder.memo = {}  # the process goes on to other tasks
 
     return run
 
