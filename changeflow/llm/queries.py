@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import licenses
+from changeflow.llm import licenses, merkle
 from changeflow.llm.common import scratch_path, table
 
 
@@ -76,6 +76,10 @@ def op2_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_license_join": op2_license_join,
     "op1_surrogates": op1_surrogates,
@@ -87,6 +91,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_cross_polytope": op10_cross_polytope,
     "op3_token_planes": op3_token_planes,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_license_join": licenses.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_license_join": licenses.oracle_sql(), "op11_merkle_manifest": merkle.oracle_sql()}
