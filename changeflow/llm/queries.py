@@ -80,6 +80,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.conversations import damaged, repaired
+
+    return repaired(damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op2_license_join": op2_license_join,
     "op1_surrogates": op1_surrogates,
@@ -92,6 +98,7 @@ QUERIES = {
     "op10_cross_polytope": op10_cross_polytope,
     "op3_token_planes": op3_token_planes,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_license_join": licenses.oracle_sql(), "op11_merkle_manifest": merkle.oracle_sql()}
