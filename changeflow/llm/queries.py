@@ -86,6 +86,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from changeflow.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_license_join": op2_license_join,
     "op1_surrogates": op1_surrogates,
@@ -99,6 +105,7 @@ QUERIES = {
     "op3_token_planes": op3_token_planes,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_vantage_points": op13_vantage_points,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_license_join": licenses.oracle_sql(), "op11_merkle_manifest": merkle.oracle_sql()}
