@@ -5,7 +5,7 @@ Layout of a token store (a folder):
 ``chunks/``  one row per block: shard, chunk, first_id (position in the shard), n_ids, plane_sizes,
              payload (all planes, one zstandard frame each) and the documents that lie in the block.
 ``index/``   the chunk index without payloads: shard, chunk, first_id (position in the whole
-             store), n_ids, payload_bytes. A reader finds the block of any id range from it.
+             store), n_ids, payload_bytes. ``read_range`` finds the blocks of an id range from it.
 
 Shards follow the order of doc_id, so ids of the whole store are one sequence. Rows are kept in
 Parquet files since Spark commits those atomically on any file system and repeats lost tasks.
@@ -34,6 +34,8 @@ CHUNKS = (
 )
 SEGMENTS = "doc_id long, start long, n_tokens long, crc long, part_at long, part binary"
 
+#: Bytes of text that a shard, the work of one task, has at most on average.
+SHARD_BYTES = 256 << 20
 #: A task keeps this many encoded words, then starts afresh; it bounds memory, not results.
 MEMO_WORDS = 1_200_000
 #: Texts of about this many characters are encoded together.
@@ -55,8 +57,8 @@ class WordEncoder:
     for as long as a worker remembers it. Words are remembered in lower case and apart from marks
     beside them; this holds for Latin-1 texts, where lower case and composition go character by
     character, if the tokenizer ignores case and white space and encodes letters and marks apart,
-    which is tried out for every Latin-1 character. Any other text, and every text for a tokenizer
-    that fails, is encoded as it is.
+    which is tried out for every Latin-1 character. Any other text, one that holds an added token of
+    the tokenizer (in any case), and every text for a tokenizer that fails, is encoded as it is.
     """
 
     def __init__(self, path: str):
@@ -67,6 +69,9 @@ class WordEncoder:
         # Words of letters are encoded many to a call and cut where a token ends a word.
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = {i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)} if suffix else set()
+        # Added tokens are found before a text is cut into words.
+        added = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()} - {""})
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.memo: dict[str, bytes] = {}
         self.by_word = self._tried()
 
@@ -91,12 +96,15 @@ class WordEncoder:
         """New words of all the texts are encoded together."""
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        split = [self._words(text.lower()) if self.by_word and self._plain(text) else None for text in texts]
+        split = [self._words(low) if self.by_word and self._plain(text) and self._without_added(low := text.lower()) else None for text in texts]
         self._learn(list(set().union(*(w for w in split if w)).difference(self.memo)))
         known = self.memo.__getitem__
         for text, words in zip(texts, split, strict=True):
             yield np.array(self._ids(text), dtype="<u4") if words is None else np.frombuffer(b"".join(map(known, words)), dtype="<u4")
 
+    def _without_added(self, text: str) -> bool:
+        return self.added is None or self.added.search(text) is None
+
     @staticmethod
     def _words(text: str) -> list[str]:
         """What is encoded apart: runs of marks and what lies between; all between blanks where an apostrophe touches another mark."""
@@ -210,12 +218,17 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int = 1,
     ``tokenizer`` is the path of a tokenizers file, ``planes`` is ``byte`` (4 planes) or ``bit`` (32).
     Null texts are empty and hold the end id alone; null doc_ids come first; repeated doc_ids are
     kept as rows of their own, ordered by text. An empty table gives an empty store. A task holds
-    one block and one Arrow batch, whatever the shard's size.
+    one block and one Arrow batch, whatever the shard's size. There are as many shards as the session has
+    shuffle partitions, or as the texts' bytes ask for. Other columns of the table are ignored.
     """
     if planes not in ("byte", "bit"):
         raise ValueError(f"planes must be byte or bit, not {planes!r}")
     spark = docs.sparkSession
-    ranged = doc_texts(docs).repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    texts = doc_texts(docs)
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(shuffle_partitions(spark), -(-size // SHARD_BYTES))
+    # The beginning of a text parts rows of one doc_id, and those without.
+    ranged = texts.repartitionByRange(shards, "doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     ranged.mapInArrow(_encode_shards(tokenizer, end_id, block_ids, planes, level), CHUNKS).write.parquet(f"{path}/chunks")
     chunks = spark.read.schema(CHUNKS).parquet(f"{path}/chunks")
     index = chunks.join(F.broadcast(_shard_bases(chunks)), "shard").select("shard", "chunk", (F.col("base") + F.col("first_id")).alias("first_id"), "n_ids", F.length("payload").alias("payload_bytes"))
@@ -229,16 +242,11 @@ def _shard_bases(chunks: DataFrame) -> DataFrame:
 
 
 def _decode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    expand = zstandard.ZstdDecompressor()
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     names = ["doc_id", "start", "n_tokens", "crc", "part_at", "part"]
     for batch in batches:
-        for row in batch.to_pylist():
-            at, parts = 0, []
-            for size in row["plane_sizes"]:
-                parts.append(expand.decompress(row["payload"][at : at + size]))
-                at += size
-            ids, first = from_planes(parts, row["n_ids"]), row["first_id"]
+        for row, ids in _blocks(batch.to_pylist()):
+            first = row["first_id"]
             out: list[tuple] = []
             for doc_id, start, n in zip(row["doc_ids"], row["doc_starts"], row["doc_lengths"], strict=True):
                 lo, hi = max(start, first), min(start + n, first + row["n_ids"])
@@ -260,20 +268,47 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return parts.groupBy("start", "doc_id", "n_tokens").agg(F.max("crc").alias("crc"), whole.alias("ids")).select("doc_id", "start", "n_tokens", F.coalesce("crc", F.crc32("ids")).alias("ids_crc32"))
 
 
+def _blocks(rows: list[dict]) -> Iterator[tuple[dict, np.ndarray]]:
+    expand = zstandard.ZstdDecompressor()
+    for row in rows:
+        at, parts = 0, []
+        for size in row["plane_sizes"]:
+            parts.append(expand.decompress(row["payload"][at : at + size]))
+            at += size
+        yield row, from_planes(parts, row["n_ids"])
+
+
+def read_range(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """``at, ids``: the ids at positions ``start`` to ``stop`` of the whole store, in pieces, each with the position of its first id.
+
+    The index tells which blocks hold them; only shards between the first and the last of these are read, and only those blocks are decoded.
+    """
+    if start < 0 or stop < start:
+        raise ValueError(f"not a range of positions: {start} to {stop}")
+    index = spark.read.parquet(f"{path}/index").where((F.col("first_id") < stop) & (F.col("first_id") + F.col("n_ids") > start))
+    low, high = index.agg(F.min("shard"), F.max("shard")).first()
+    chunks = spark.read.schema(CHUNKS).parquet(f"{path}/chunks").where(F.col("shard").between(-1 if low is None else low, -1 if high is None else high))
+    wanted = chunks.drop("first_id").join(index.select("shard", "chunk", "first_id"), ["shard", "chunk"]).select("first_id", "n_ids", "plane_sizes", "payload")
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, ids in _blocks(batch.to_pylist()):
+                low, high = max(start, row["first_id"]), min(stop, row["first_id"] + row["n_ids"])
+                part = ids[low - row["first_id"] : high - row["first_id"]].astype("int64")
+                yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([part], pa.list_(pa.int64()))], names=["at", "ids"])
+
+    return wanted.mapInArrow(pieces, "at long, ids array<long>")
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, ids`` with the ids of every document as an array, for a consumer of the store."""
     chunks = spark.read.schema(CHUNKS).parquet(f"{path}/chunks")
     based = chunks.join(F.broadcast(_shard_bases(chunks)), "shard")
 
     def rows(batches):
-        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            for row in batch.to_pylist():
-                at, parts = 0, []
-                for size in row["plane_sizes"]:
-                    parts.append(expand.decompress(row["payload"][at : at + size]))
-                    at += size
-                ids, first = from_planes(parts, row["n_ids"]), row["first_id"]
+            for row, ids in _blocks(batch.to_pylist()):
+                first = row["first_id"]
                 for doc_id, start, n in zip(row["doc_ids"], row["doc_starts"], row["doc_lengths"], strict=True):
                     lo, hi = max(start, first), min(start + n, first + row["n_ids"])
                     piece = pa.array([ids[lo - first : hi - first].astype("int64")], pa.list_(pa.int64()))

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from changeflow.llm.tokenbin import WordEncoder, from_planes, read_ids, read_tokens, to_planes, write_tokens
+from changeflow.llm.tokenbin import WordEncoder, from_planes, read_ids, read_range, read_tokens, to_planes, write_tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ROWS = [
@@ -46,6 +46,36 @@ def test_words_apart_equal_whole_texts():
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens():
+    """Every added token, alone, inside words and in other cases, as the library encodes it."""
+    encoder = WordEncoder(PATH)
+    added = [t.content for t in encoder.tokenizer.get_added_tokens_decoder().values()]
+    assert added and encoder.by_word
+    texts = [form.format(t, t) for t in [*added, *(x.upper() for x in added), *(x[:-1] for x in added)] for form in ("{}", "hello {} world", "in{}side", "{}{}", "a!{}'s", "\u00e9 {}\n", "{}.")]
+    for text, ids in zip(texts, encoder.encode_many(texts), strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_ranges_by_the_index(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("changeflow.llm.tokenbin.SHARD_BYTES", 5000)
+    write_tokens(spark.createDataFrame(ROWS, "doc_id long, text string, start string"), path := str(tmp_path / "s"), tokenizer=PATH, block_ids=256)
+    assert len({r.shard for r in spark.read.parquet(f"{path}/index").collect()}) > 4
+    whole = [x for r in read_ids(spark, path).orderBy("start").collect() for x in r.ids]
+    for start, stop in ((0, len(whole)), (0, 1), (250, 260), (256, 512), (1000, 5000), (len(whole) - 3, len(whole) + 9), (7, 7), (10**9, 10**9 + 5)):
+        pieces = read_range(spark, path, start, stop).orderBy("at").collect()
+        assert [x for r in pieces for x in r.ids] == whole[start:stop]
+        assert not pieces or pieces[0].at == start
+    with pytest.raises(ValueError):
+        read_range(spark, path, 5, 4)
+
+
+def test_rows_without_id_are_spread(spark, tmp_path):
+    rows = [(None, f"{k:05} some text", "x") for k in range(400)]
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string, start string"), path := str(tmp_path / "s"), tokenizer=PATH, block_ids=64)
+    assert len({r.shard for r in spark.read.parquet(f"{path}/chunks").collect()}) == 4
+    assert [tuple(r) for r in read_tokens(spark, path).orderBy("start").collect()] == expected(rows)
+
+
 def test_tokenizer_that_keeps_case(tmp_path):
     import json
 
