@@ -37,6 +37,15 @@ def require_op(df: DataFrame, op_col: str = OP) -> None:
         raise ValueError(f"no operation column {op_col!r}; there are {', '.join(df.columns)}")
 
 
+def checked_op(df: DataFrame, op_col: str = OP) -> DataFrame:
+    """The rows with an operation column that fails where it is null.
+
+    In the column itself: whoever compares it meets the error, whereas filters may be reordered and skip rows before a check.
+    """
+    require_op(df, op_col)
+    return df.withColumn(op_col, F.coalesce(F.col(op_col), F.raise_error(F.lit(f"null operation in {op_col}")).cast("string")))
+
+
 def strip_op(df: DataFrame, op_col: str = OP) -> DataFrame:
     return df.drop(op_col)
 
@@ -91,7 +100,12 @@ def to_u256(text: Column) -> Column:
 
 
 def _u256_text(value: pd.Series) -> pd.Series:
-    return value.map(lambda b: str(int.from_bytes(b, "big")), na_action="ignore")
+    def one(b: bytes) -> str:
+        if len(b) != 32:
+            raise ValueError(f"not a 256-bit number: {len(b)} bytes")
+        return str(int.from_bytes(b, "big"))
+
+    return value.map(one, na_action="ignore")
 
 
 def u256_to_text(value: Column) -> Column:
@@ -115,6 +129,36 @@ def cell_text(name: str, kind: T.DataType) -> Column:
     return c.cast("string")
 
 
+def json_cell(value: Column, kind: T.DataType) -> Column:
+    """A value as JSON is to have it: bytes as hex at every depth; what holds no bytes is left as it is."""
+    if isinstance(kind, T.BinaryType):
+        return F.lower(F.hex(value))
+    if not _holds_bytes(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: json_cell(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.struct(json_cell(e["key"], kind.keyType).alias("key"), json_cell(e["value"], kind.valueType).alias("value")))
+        return F.map_from_entries(pairs)
+    fields = F.struct(*(json_cell(value[f.name], f.dataType).alias(f.name) for f in kind.fields))
+    return F.when(value.isNotNull(), fields)
+
+
+def _holds_bytes(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_bytes(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _holds_bytes(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _holds_bytes(kind.keyType) or _holds_bytes(kind.valueType)
+    return isinstance(kind, T.BinaryType)
+
+
+def row_json(fields: list[T.StructField], u256: tuple[str, ...] = ()) -> Column:
+    """The named columns as one JSON object without nulls: the body of messages and log records, whichever way they go."""
+    return F.to_json(F.struct(*((u256_to_text(F.col(f.name)) if f.name in u256 else json_cell(F.col(f.name), f.dataType)).alias(f.name) for f in fields)))
+
+
 def relational_cell(name: str, kind: T.DataType) -> Column:
     """A cell for a relational statement: a fraction of a second only where there is one, decimals with their scale."""
     c = F.col(name)

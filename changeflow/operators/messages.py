@@ -8,22 +8,15 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from changeflow.functions.columns import encode_op, relational_cell, require_op, route_name, u256_to_text
+from changeflow.functions.columns import encode_op, relational_cell, require_op, route_name, row_json
 from changeflow.functions.schema import OP
+from changeflow.operators.ranges import numbered, runs
 
 
 def row_to_json(df: DataFrame, *, include_op: bool = True, op_col: str = OP, u256: tuple[str, ...] = ()) -> DataFrame:
     """``body``: one JSON object a row without its nulls; bytes as hex, 256-bit numbers as decimal text."""
-    def cell(f: T.StructField):
-        if f.name in u256:
-            return u256_to_text(F.col(f.name)).alias(f.name)
-        return (F.lower(F.hex(f.name)) if isinstance(f.dataType, T.BinaryType) else F.col(f.name)).alias(f.name)
-
-    fields = [f for f in df.schema.fields if include_op or f.name != op_col]
-    return df.select(F.to_json(F.struct(*map(cell, fields))).alias("body"))
+    return df.select(row_json([f for f in df.schema.fields if include_op or f.name != op_col], u256).alias("body"))
 
 
 def render_relational(df: DataFrame) -> DataFrame:
@@ -31,7 +24,7 @@ def render_relational(df: DataFrame) -> DataFrame:
     return df.select(*(relational_cell(f.name, f.dataType).alias(f.name) for f in df.schema.fields))
 
 
-def to_log_records(df: DataFrame, *, stream: str | None = None, template: str | None = None, op_col: str = OP, max_bytes: int = 1048575, keep: tuple[str, ...] = ()) -> DataFrame:
+def to_log_records(df: DataFrame, *, stream: str | None = None, template: str | None = None, op_col: str = OP, max_bytes: int = 1048575, keep: tuple[str, ...] = (), u256: tuple[str, ...] = ()) -> DataFrame:
     """``stream, headers, body``: the row without its operation as JSON, the operation as header ``dbz.op``.
 
     Rows go to one stream or to the one that the template names. A body over ``max_bytes`` is an error.
@@ -40,7 +33,7 @@ def to_log_records(df: DataFrame, *, stream: str | None = None, template: str |
         raise ValueError("give stream or template, one of them")
     require_op(df, op_col)
     fields = [f for f in df.schema.fields if f.name != op_col and f.name not in keep]
-    body = F.to_json(F.struct(*((F.lower(F.hex(f.name)).alias(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(f.name)) for f in fields)))
+    body = row_json(fields, u256)
     name = F.lit(stream) if template is None else route_name(template, df.columns)
     code = encode_op(F.col(op_col))
     rows = df.select(name.alias("stream"), F.array(F.struct(F.lit("dbz.op").alias("key"), code.alias("value"))).alias("headers"), body.alias("body"), *keep)
@@ -52,24 +45,20 @@ def route(df: DataFrame, template: str, *, as_col: str = "stream") -> DataFrame:
     return df.withColumn(as_col, route_name(template, df.columns))
 
 
-def route_runs(df: DataFrame, *, order: tuple[str, ...], by: tuple[str, ...]) -> DataFrame:
-    """``stream, first, last, n_rows``: neighbours of one stream in the order, within each group of ``by``.
-
-    ``by`` (a source partition, for example) is what has an order of its own; it is required, since one sequence of all rows would be one task.
+def route_runs(df: DataFrame, *, order: tuple[str, ...], by: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
+    """``by, stream, first, last, n_rows``: neighbours of one stream in the order, within each group of ``by`` (a source
+    partition, for example), or of all rows as one sequence. ``order`` begins with a number or time.
     """
-    if not by:
-        raise ValueError("runs need the columns within which rows have an order")
-    group = Window.partitionBy(*by)
-    seen = group.orderBy(*order)
-    mine = Window.partitionBy(*by, "stream").orderBy(*order)
-    marked = df.withColumn("_run", F.row_number().over(seen) - F.row_number().over(mine))
-    return marked.groupBy(*by, "stream", "_run").agg(F.min(order[0]).alias("first"), F.max(order[0]).alias("last"), F.count("*").alias("n_rows")).drop("_run")
+    if not order:
+        raise ValueError("runs need an order")
+    return runs(df, "stream", list(by), list(order), ranges=ranges)
 
 
-def message_batches(df: DataFrame, size: int = 10, *, by: str | None = None, order: tuple[str, ...] = ()) -> DataFrame:
+def message_batches(df: DataFrame, size: int = 10, *, by: str | None = None, order: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
     """``[by,] batch, bodies``: JSON messages of whole rows in groups of at most ``size``.
 
-    Batches are cut within partitions; with ``by`` each value's rows are numbered in ``order`` first.
+    Batches are cut within partitions. With ``by`` each value's rows are numbered in ``order`` (which begins with a number or time),
+    and all its batches but the last are full; one value may have all rows, as its numbering is dealt to ranges.
     """
     if by is None:
         def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,9 +73,9 @@ def message_batches(df: DataFrame, size: int = 10, *, by: str | None = None, ord
                 yield pd.DataFrame({"bodies": [held]})
 
         return row_to_json(df).mapInPandas(cut, "bodies array<string>")
-    at = F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1
-    numbered = df.select(F.col(by), F.to_json(F.struct(*df.columns)).alias("body"), at.alias("_at"))
-    batches = numbered.groupBy(by, F.floor(F.col("_at") / size).cast("long").alias("batch"))
+    at = numbered(df, [by], list(order), as_col="_at", ranges=ranges)
+    bodies = at.select(F.col(by), row_json(df.schema.fields).alias("body"), "_at")
+    batches = bodies.groupBy(by, F.floor(F.col("_at") / size).cast("long").alias("batch"))
     return batches.agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "body"))), lambda x: x["body"]).alias("bodies"))
 
 

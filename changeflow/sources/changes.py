@@ -31,11 +31,12 @@ def unclaimed_tables(df: DataFrame, claimed: list[str]) -> DataFrame:
     return df.where(~F.col("tbl").isin(names)).groupBy("tbl").agg(F.count("*").alias("events"))
 
 
-def normalize_changes(df: DataFrame, schema: T.StructType, *, keys: list[str], emit_update_before: bool = False, op_col: str = OP, observation: Observation | None = None) -> DataFrame:
+def normalize_changes(df: DataFrame, schema: T.StructType, *, keys: list[str], emit_update_before: bool = False, complete: str | None = None, op_col: str = OP, observation: Observation | None = None) -> DataFrame:
     """``op, lsn, ord, seq, declared columns``: inserts and copies as i, updates as u, deletes as d.
 
     With ``emit_update_before`` an update with a full old image gives a d row of that image first.
     A delete that knows only the key has nulls elsewhere; a value missing from an image is null.
+    ``complete`` names one more column: whether the row's image is full, which running totals ask for.
     Events that are no rows, and deletes without an old image, are left out and counted. One pass
     without a shuffle; order is ``(lsn, ord, seq)``.
     """
@@ -57,14 +58,16 @@ def normalize_changes(df: DataFrame, schema: T.StructType, *, keys: list[str], e
         return F.struct(*values)
 
     only_key = F.coalesce(F.col("old_kind") == "key", F.lit(False))
-    before = F.struct(F.lit("d").alias("op"), image("old", only_key).alias("row"))
-    after = F.struct(F.when(F.col("kind") == "update", "u").otherwise("i").alias("op"), image("new", F.lit(False)).alias("row"))
+    is_full = lambda of: F.forall(F.array(*(F.lit(f.name) for f in schema.fields)), lambda c: F.map_contains_key(of, c))
+    whole = (lambda c: [F.coalesce(c, F.lit(False)).alias("full")]) if complete else (lambda c: [])
+    before = F.struct(F.lit("d").alias("op"), image("old", only_key).alias("row"), *whole(is_full(F.col("old")) & (F.col("old_kind") == "full")))
+    after = F.struct(F.when(F.col("kind") == "update", "u").otherwise("i").alias("op"), image("new", F.lit(False)).alias("row"), *whole(is_full(F.col("new"))))
     rows = F.when(F.col("kind") == "delete", F.array(before))
     if emit_update_before:
         full = (F.col("kind") == "update") & F.col("old").isNotNull() & F.coalesce(F.col("old_kind") == "full", F.lit(False))
         rows = rows.when(full, F.array(before, after))
     events = df.where(row & ~lost).select("lsn", "ord", F.posexplode(rows.otherwise(F.array(after))).alias("seq", "x"))
-    return events.select(F.col("x.op").alias(op_col), "lsn", "ord", "seq", *(F.col("x.row")[f.name].alias(f.name) for f in schema.fields))
+    return events.select(F.col("x.op").alias(op_col), "lsn", "ord", "seq", *(F.col("x.row")[f.name].alias(f.name) for f in schema.fields), *([F.col("x.full").alias(complete)] if complete else []))
 
 
 def align_by_name(df: DataFrame, schema: T.StructType, *, keep: tuple[str, ...] = (OP,)) -> DataFrame:

@@ -1,9 +1,13 @@
+import json
 import random
+
 import pytest
 from changeflow.operators.layout import partition_counts, write_parquet
 from changeflow.operators.messages import SendError, deliver, message_batches, render_relational, route_runs, row_to_json, to_log_records
 from changeflow.operators.progress import catalog_diff, dedupe_replay, merge_positions, positions, prune_versions, schema_asof
-from changeflow.operators.state import apply_changes, change_counts, first_by_key, latest_by_key, retract_agg, split_ops
+from changeflow.operators.ranges import cuts_of, numbered, range_of
+from changeflow.operators.relational import last_operations
+from changeflow.operators.state import apply_changes, change_counts, first_by_key, fold_changes, latest_by_key, null_operations, retract_agg, retract_extremes, split_ops
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -31,8 +35,57 @@ def test_latest_combines_before_its_only_shuffle(spark):
 def test_retraction(spark):
     df = spark.createDataFrame([("i", "A", 5), ("i", "A", 7), ("d", "A", 5), ("u", "B", 6), ("d", "B", 6)], "_op string, g string, n long")
     assert rows(retract_agg(df, ["g"], ["n"])) == [("A", 1, 7), ("B", 0, 0)]
+    # A null is a group; an image that isn't complete is an error where the rows tell so.
+    none = spark.createDataFrame([("i", None, 4), ("d", None, 4)], df.schema)
+    assert rows(retract_agg(df.union(none), ["g"], ["n"])) == [("A", 1, 7), ("B", 0, 0), (None, 0, 0)]
+    told = df.withColumn("full", F.col("_op") != "d")
+    with pytest.raises(PySparkException):
+        retract_agg(told, ["g"], ["n"], complete="full").collect()
+    assert rows(retract_agg(told.withColumn("full", F.lit(True)), ["g"], ["n"], complete="full")) == [("A", 1, 7), ("B", 0, 0)]
+
+
+def test_extremes_under_retraction(spark):
+    """A deleted maximum gives way to the next, against folding the changes by hand."""
+    rng = random.Random(8)
+    for by in (["g"], ["g", "h"], []):
+        held, log = [], []
+        for _ in range(400):
+            if held and rng.random() < 0.45:
+                log.append(("d", *held.pop(rng.randrange(len(held)))))
+            else:
+                held.append((rng.choice(["A", "B", None]), rng.randrange(2), rng.choice([None, *range(9)])))
+                log.append((rng.choice("iu"), *held[-1]))
+        rng.shuffle(log)
+        groups = {}
+        for g, h, v in held:
+            if v is not None:
+                groups.setdefault((g, h)[: len(by)], []).append(v)
+        want = [(*k, len(v), len(set(v)), min(v), max(v), sorted(v, reverse=True)[:3]) for k, v in groups.items()]
+        got = retract_extremes(spark.createDataFrame(log, "_op string, g string, h long, v long"), by, "v", k=3)
+        assert rows(got) == sorted(want, key=str)
+    df = spark.createDataFrame([("i", "A", 5), ("i", "A", 7), ("d", "A", 7)], "_op string, g string, n long")
+    assert rows(retract_extremes(df, ["g"], "n")) == [("A", 1, 1, 5, 5)]
+    assert retract_extremes(df.union(df.where("_op = 'd'").withColumn("n", F.lit(5))), ["g"], "n").count() == 0
     with pytest.raises(PySparkException):
-        retract_agg(df.union(df.select(F.lit("d"), F.lit(None).cast("string"), F.lit(1))), ["g"], ["n"]).collect()
+        retract_extremes(df.union(df.where("_op = 'd'")), ["g"], "n").collect()
+    with pytest.raises(ValueError):
+        retract_extremes(df, ["g"], "n", k=-1)
+
+
+def test_null_operations_are_errors(spark):
+    df = spark.createDataFrame([("i", 1, 0, 1, "a"), (None, 2, 0, 1, "b"), ("u", 3, 0, 2, "c")], CHANGE)
+    target = spark.createDataFrame([(1, "old")], "id long, v string")
+    calls = [
+        lambda: latest_by_key(df, ["id"]), lambda: first_by_key(df, ["id"]), lambda: retract_agg(df, ["v"], ["id"]), lambda: change_counts(df), lambda: split_ops(df)[0],
+        lambda: split_ops(df)[1], lambda: apply_changes(target, df, ["id"]), lambda: apply_changes(target, df, ["id"], on_conflict="nothing"), lambda: apply_changes(target, df, []),
+        lambda: fold_changes(df.limit(0), df, ["id"]), lambda: fold_changes(df.limit(0), df, ["id"], on_conflict="nothing"), lambda: last_operations(df, ["id"]),
+        lambda: last_operations(df, ["id"], on_conflict="nothing"), lambda: retract_extremes(df, ["v"], "id"), lambda: to_log_records(df, stream="s"),
+    ]
+    for call in calls:
+        with pytest.raises(PySparkException, match="(?i)null"):
+            call().collect()
+    assert rows(null_operations(df, ("v",))) == [("a", 1, 0), ("b", 1, 1), ("c", 1, 0)]
+    assert rows(latest_by_key(df.where("_op is not null"), ["id"]).select("id", "v")) == [(1, "a"), (2, "c")]
 
 
 def test_counts_and_split(spark):
@@ -88,6 +141,23 @@ def test_json(spark):
     assert render_relational(df.select("id", "v")).first().id == 1
 
 
+def test_one_json_for_all_ways(spark):
+    """Bytes are hex at every depth and 256-bit numbers decimal, alone, in batches and in log records."""
+    kind = "id long, b binary, s struct<b:binary,n:long>, a array<binary>, m map<string,array<struct<x:binary>>>, big binary, _op string"
+    raw = bytearray(b"\x01\xff")
+    df = spark.createDataFrame([(1, raw, (raw, None), [raw, None], {"k": [(raw,), (None,)]}, bytearray(31) + bytearray([7]), "i"), (2, None, None, None, None, None, "u")], kind)
+    body = '{"id":1,"b":"01ff","s":{"b":"01ff"},"a":["01ff",null],"m":{"k":[{"x":"01ff"},{}]},"big":"7"}'
+    plain = row_to_json(df, include_op=False, u256=("big",)).collect()
+    logged = to_log_records(df, stream="s", u256=("big",)).collect()
+    assert [r.body for r in plain] == [r.body for r in logged] == [body, '{"id":2}']
+    rest = df.drop("big")
+    cut = [b for r in message_batches(rest).collect() for b in r.bodies]
+    by = [b for r in message_batches(rest, by="id", order=("id",)).collect() for b in r.bodies]
+    assert sorted(cut) == sorted(by) == sorted(r.body for r in row_to_json(rest).collect())
+    with pytest.raises(PySparkException):
+        row_to_json(df, u256=("b",)).collect()
+
+
 def test_log_records(spark):
     df = spark.createDataFrame([("i", 1, "acme"), ("d", 2, "globex")], "_op string, id long, tenant string")
     got = to_log_records(df, template="t/{tenant}").collect()
@@ -105,13 +175,58 @@ def test_runs(spark):
     df = spark.createDataFrame([(k, c, "one") for k, c in enumerate("aabba")], "seq long, stream string, source string")
     assert rows(route_runs(df, order=("seq",), by=("source",)).drop("source")) == [("a", 0, 1, 2), ("a", 4, 4, 1), ("b", 2, 3, 2)]
     with pytest.raises(ValueError):
-        route_runs(df, order=("seq",), by=())
+        route_runs(df, order=())
+
+
+def by_hand(given, size=None):
+    """Runs of (group, seq, stream) rows."""
+    out, group = {}, {}
+    for g, seq, stream in sorted(given, key=lambda r: (str(r[0]), r[1])):
+        mine = out.setdefault(g, [])
+        if mine and group.get(g) == stream:
+            mine[-1][2:] = [seq, mine[-1][3] + 1]
+        else:
+            mine.append([stream, seq, seq, 1])
+        group[g] = stream
+    return sorted(((g, *r) for g, rs in out.items() for r in rs), key=str)
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40, None])
+def test_runs_across_ranges(spark, ranges):
+    rng = random.Random(ranges or 0)
+    for choice in ("ab", "a", ["a", None], "abcdef"):
+        given = [(rng.choice(["x", "x", "x", "y", None]), 3 * k, rng.choice(choice) if rng.random() < 0.4 else choice[0]) for k in range(300)]
+        rng.shuffle(given)
+        df = spark.createDataFrame(given, "source string, seq long, stream string")
+        assert rows(route_runs(df, order=("seq",), by=("source",), ranges=ranges)) == by_hand(given)
+        one = [(0, seq, stream) for _, seq, stream in given]
+        assert rows(route_runs(df, order=("seq",), ranges=ranges)) == sorted((r[1:] for r in by_hand(one)), key=str)
+    assert route_runs(df.limit(0), order=("seq",)).count() == 0
+
+
+def test_one_source_is_dealt_to_ranges(spark):
+    """No task of a window has more than its range, also when all rows are one sequence."""
+    df = spark.range(8000).select(F.col("id").alias("seq"), (F.col("id") % 3).cast("string").alias("stream"))
+    plan = route_runs(df, order=("seq",), ranges=8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") <= 2 and "hashpartitioning(_range" in plan
+    users = df.withColumn("user", F.lit(1))
+    at = numbered(users, ["user"], ["seq"], as_col="at", ranges=8)
+    assert at.where("at <> seq").count() == 0 and at.count() == 8000
+    groups = range_of(F.col("seq"), cuts_of(users, "seq", 8))
+    assert users.groupBy(groups.alias("r")).count().agg(F.max("count"), F.count("*")).first()[:] <= (1400, 8)
+    sizes = [r.n for r in message_batches(users, 10, by="user", order=("seq",), ranges=8).select(F.size("bodies").alias("n")).collect()]
+    assert sizes == [10] * 800
 
 
 def test_batches(spark):
     df = spark.range(1007).repartition(1)
     assert sorted(len(r.bodies) for r in message_batches(df).collect()) == [7] + [10] * 100
     by = spark.range(25).withColumn("k", F.col("id") % 2)
+    # All but a user's last batch are full, whatever the ranges.
+    for ranges in (1, 3, None):
+        found = message_batches(spark.range(97).withColumn("k", F.col("id") % 2), 10, by="k", order=("id",), ranges=ranges).orderBy("k", "batch").collect()
+        assert [len(r.bodies) for r in found] == [10] * 4 + [9] + [10] * 4 + [8]
+        assert [json.loads(b)["id"] for r in found if r.k == 1 for b in r.bodies] == list(range(1, 97, 2))
     assert sorted((r.k, r.batch, len(r.bodies)) for r in message_batches(by, by="k", order=("id",)).collect()) == [(0, 0, 10), (0, 1, 3), (1, 0, 10), (1, 1, 2)]
 
 
