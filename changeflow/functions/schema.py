@@ -113,27 +113,54 @@ def parse_stream_template(template: str) -> list[Segment]:
     return [*out, Segment(literal, False)] if literal else out
 
 
-def relational_type(kind: T.DataType) -> str:
-    """Column type of a relational table."""
-    fixed = {
+# Column types by dialect. Nested values are JSON; all others are text.
+RELATIONAL = {
+    "mysql": {
         T.BooleanType: "BOOLEAN", T.ByteType: "TINYINT", T.ShortType: "SMALLINT", T.IntegerType: "INT", T.LongType: "BIGINT",
         T.FloatType: "FLOAT", T.DoubleType: "DOUBLE", T.BinaryType: "LONGBLOB", T.DateType: "DATE",
         T.TimestampType: "DATETIME(6)", T.TimestampNTZType: "DATETIME(6)", T.StructType: "JSON", T.ArrayType: "JSON", T.MapType: "JSON",
-    }
+    },
+    "standard": {
+        T.BooleanType: "BOOLEAN", T.ByteType: "SMALLINT", T.ShortType: "SMALLINT", T.IntegerType: "INTEGER", T.LongType: "BIGINT",
+        T.FloatType: "REAL", T.DoubleType: "DOUBLE PRECISION", T.BinaryType: "BLOB", T.DateType: "DATE",
+        T.TimestampType: "TIMESTAMP", T.TimestampNTZType: "TIMESTAMP",
+    },
+}
+#: Text of unknown length, and text that a key can have.
+_TEXT = {"mysql": ("TEXT", "TEXT"), "standard": ("CLOB", "VARCHAR(255)")}
+_QUOTE = {"mysql": "`", "standard": '"'}
+
+
+def quoted(name: str, dialect: str = "mysql") -> str:
+    mark = quote_of(dialect)
+    return mark + name.replace(mark, 2 * mark) + mark
+
+
+def quote_of(dialect: str) -> str:
+    if dialect not in _QUOTE:
+        raise ValueError(f"dialect must be one of {', '.join(_QUOTE)}, not {dialect!r}")
+    return _QUOTE[dialect]
+
+
+def relational_type(kind: T.DataType, dialect: str = "mysql", *, key: bool = False) -> str:
+    """Column type of a relational table."""
+    quote_of(dialect)
     if isinstance(kind, T.DecimalType):
         precision = min(kind.precision, 65)
         return f"DECIMAL({precision}, {min(kind.scale, 30, precision)})"
-    return fixed.get(type(kind), "TEXT")
+    return RELATIONAL[dialect].get(type(kind), _TEXT[dialect][key])
 
 
-def create_table_sql(schema: T.StructType, table: str, keys: list[str], *, op_col: str = OP) -> str:
-    """Statement that makes the table where it is missing; text and binary keys use a prefix of 255."""
+def create_table_sql(schema: T.StructType, table: str, keys: list[str], *, op_col: str = OP, dialect: str = "mysql") -> str:
+    """Statement that makes the table, in MySQL where it is missing; there text and binary keys use a prefix of 255."""
     fields = [f for f in schema.fields if f.name != op_col]
-    kinds = {f.name: relational_type(f.dataType) for f in fields}
+    kinds = {f.name: relational_type(f.dataType, dialect, key=f.name in keys) for f in fields}
     if missing := [k for k in keys if k not in kinds]:
         raise ValueError(f"key columns that don't exist: {', '.join(missing)}")
-    lines = [f"  `{f.name}` {kinds[f.name]}{'' if f.nullable else ' NOT NULL'}" for f in fields]
+    q = lambda name: quoted(name, dialect)
+    mysql = dialect == "mysql"
+    lines = [f"  {q(f.name)} {kinds[f.name]}{'' if f.nullable and (mysql or f.name not in keys) else ' NOT NULL'}" for f in fields]
     if keys:
-        prefixed = (f"`{k}`(255)" if kinds[k] in ("TEXT", "LONGBLOB") else f"`{k}`" for k in keys)
+        prefixed = (f"{q(k)}(255)" if mysql and kinds[k] in ("TEXT", "LONGBLOB") else q(k) for k in keys)
         lines.append(f"  PRIMARY KEY ({', '.join(prefixed)})")
-    return f"CREATE TABLE IF NOT EXISTS `{table}` (\n" + ",\n".join(lines) + "\n)"
+    return f"CREATE TABLE {'IF NOT EXISTS ' if mysql else ''}{q(table)} (\n" + ",\n".join(lines) + "\n)"

@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from changeflow.operators.layout import laid_out
 from changeflow.operators.messages import send_messages
-from changeflow.operators.relational import last_operations
-from changeflow.operators.state import ORDER, first_by_key, fold_changes, latest_by_key
+from changeflow.operators.relational import last_operations, merge_into
+from changeflow.operators.state import ORDER, compacted, first_by_key, latest_by_key
 
 HEADER = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 RECORD = T.StructType([
@@ -67,6 +67,14 @@ def relational_stream(changes: DataFrame, stage_and_merge: Callable[[DataFrame],
     return batch_stream(changes, lambda batch: stage_and_merge(last_operations(batch, keys, on_conflict=on_conflict, order=order)), checkpoint, trigger=trigger)
 
 
+def relational_merge_stream(changes: DataFrame, url: str, table: str, keys: list[str], checkpoint: str, *, trigger: dict | None = None, **options) -> StreamingQuery:
+    """Each batch merged into a table of a relational database; ``options`` are those of ``merge_into``.
+
+    A batch that comes again is merged again, which changes nothing with ``on_conflict="update"``.
+    """
+    return batch_stream(changes, lambda batch: merge_into(batch, url, table, keys, **options), checkpoint, trigger=trigger)
+
+
 def append_changes(changes: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
     """A keyed table that is merged when it is read: changes are appended, each once, and ``merged`` folds them.
 
@@ -81,8 +89,12 @@ def merged(log: DataFrame, keys: list[str], *, on_conflict: str = "update", orde
 
 
 def compact(log: DataFrame, path: str, keys: list[str], *, on_conflict: str = "update", order: tuple[str, ...] = ORDER) -> None:
-    """Write the changes that still count to a new folder, to be read together with what is appended afterwards."""
-    fold_changes(log.limit(0), log, keys, on_conflict=on_conflict, order=order).write.parquet(path)
+    """Write the changes that still count to a new folder.
+
+    It covers the files that ``log`` had when it was defined (``log.inputFiles()``). Changes appended to the old folder
+    meanwhile are not in it: read them too, or stop the stream before and let it append to the new folder after.
+    """
+    compacted(log, keys, on_conflict=on_conflict, order=order).write.parquet(path)
 
 
 class Counters(StreamingQueryListener):
