@@ -63,55 +63,73 @@ def envelope(df: DataFrame, *, op_header: str = "dbz.op", op_col: str = OP, obse
     return df.select(restore_op(code).alias(op_col), "stream", "seq_num", when.alias("timestamp"), headers_json(F.col("headers")).alias("headers"), lossy_utf8(F.col("body")).alias("body"))
 
 
+def _parsed(body: Column, fields: list[T.StructField]) -> Column:
+    """The body and a mark as an array of two objects with the declared fields as text, those of text columns as variants.
+
+    As text a number with a fraction has double precision, which a variant's has not.
+    """
+    raw = [T.StructField(f.name, T.VariantType() if isinstance(f.dataType, T.StringType) else T.StringType()) for f in fields]
+    kind = T.ArrayType(T.StructType([*raw, T.StructField(_MARK, T.StringType())]))
+    # Only JSON itself: Spark's reader would take more.
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    return F.from_json(F.concat(F.lit("["), body, F.lit(f',{{"{_MARK}":"{_MARK}"}}]')), kind, strict)
+
+
+def _one_object(parsed: Column) -> Column:
+    first, mark = F.get(parsed, F.lit(0)), F.get(parsed, F.lit(1))[_MARK]
+    return F.coalesce((F.size(parsed) == 2) & (mark == _MARK) & first.isNotNull(), F.lit(False))
+
+
 def is_single_json_object(body: Column) -> Column:
     """Exactly one JSON object; white space around it is fine, a second value isn't."""
-    parsed = F.from_json(F.concat(F.lit("["), body, F.lit(f',"{_MARK}"]')), T.ArrayType(T.StringType()))
-    fine = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1)) == _MARK) & F.ltrim(F.get(parsed, F.lit(0))).startswith("{")
-    return F.coalesce(fine, F.lit(False))
+    return _one_object(_parsed(body, [])) & F.ltrim(body, F.lit(" \t\r\n")).startswith("{")
 
 
-def _field(value: Column, field: T.StructField) -> tuple[Column, Column]:
-    """(typed value, whether it is malformed) of one declared column."""
-    path = "$['" + field.name.replace("'", "\\'") + "']"
-    # Both reads of a scalar are cheap; the text form decides what "there but not of the type" means.
-    raw = F.try_variant_get(value, path, "string")
-    there = F.try_variant_get(value, path, "variant").isNotNull() & ~F.coalesce(F.is_variant_null(F.try_variant_get(value, path, "variant")), F.lit(False))
+def _typed(text: Column, field: T.StructField) -> Column:
+    """A raw value in the declared type, null where it isn't one: 1.5 and true are no integers, 2024 is no date."""
     kind = field.dataType
     if isinstance(kind, T.StringType):
-        typed = raw
-    elif isinstance(kind, T.IntegralType):
-        # 1.5 is no integer; a cast from a fraction would cut it off.
-        exact = F.try_variant_get(value, path, "decimal(38,9)")
-        typed = F.when(exact == F.floor(exact), exact.try_cast(kind))
-    elif isinstance(kind, T.DecimalType):
-        exact = F.try_variant_get(value, path, "decimal(38,9)")
-        typed = F.when(exact == F.floor(exact), exact.try_cast(kind))
+        return F.try_variant_get(text, "$", "string")
+    if isinstance(kind, T.BooleanType):
+        return F.when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        # 1e3 and 5.0 are integers, 1.5 isn't; most are plain digits, which the first cast takes.
+        exact = text.try_cast("decimal(38,9)")
+        value = F.when(exact == F.floor(exact), exact.try_cast(kind))
+        value = F.coalesce(text.try_cast(kind), value) if isinstance(kind, T.IntegralType) else value
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        value = F.when(text.contains("-"), text.try_cast(kind))
     else:
-        typed = F.try_variant_get(value, path, kind.simpleString())
+        value = text.try_cast(kind)
     if limit := field.metadata.get("max"):
-        typed = F.when((typed >= 0) & (typed <= F.lit(limit).cast("decimal(38,0)")), typed)
-    bad = there & typed.isNull()
-    return typed, bad if field.nullable else (bad | ~there)
+        value = F.when((value >= 0) & (value <= F.lit(limit).cast("decimal(38,0)")), value)
+    return value
 
 
 def _decoded(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """All columns of ``df``, ``_values`` (the declared columns) and ``_fine``."""
+    """All columns of ``df``, ``_values`` (the declared columns) and ``_fine``; a body is parsed once and each value is cast once."""
     body = lossy_utf8(F.col("body"))
-    value = F.when(is_single_json_object(body), F.try_parse_json(body))
-    df = df.withColumn("_value", value)
-    fields = [_field(F.col("_value"), f) for f in schema.fields]
-    bad = F.lit(False)
-    for _, b in fields:
-        bad = bad | b
-    values = F.struct(*(v.alias(f.name) for (v, _), f in zip(fields, schema.fields, strict=True)))
-    return df.withColumns({"_values": values, "_fine": F.col("_value").isNotNull() & ~F.coalesce(bad, F.lit(False))}).drop("_value")
+    # A generator's output is a column that no filter or later projection takes apart, so nothing is evaluated again.
+    once = lambda rows, value, name: rows.select(*rows.columns, F.explode(F.array(value)).alias(name))
+    rows = once(df.withColumn("_text", body), F.struct(_parsed(F.col("_text"), schema.fields).alias("p")), "_parse")
+    first = F.get(F.col("_parse.p"), F.lit(0))
+    whole = _one_object(F.col("_parse.p")) & F.ltrim(F.col("_text"), F.lit(" \t\r\n")).startswith("{")
+    there = lambda f: F.lit(False) if isinstance(f.dataType, T.StringType) else first[f.name].isNotNull()  # noqa: E731  any value is a text
+    pairs = [F.struct(there(f).alias("there"), _typed(first[f.name], f).alias("value")).alias(f.name) for f in schema.fields]
+    rows = once(rows, F.struct(whole.alias("whole"), F.struct(*pairs).alias("c")), "_cast")
+    fine = F.col("_cast.whole")
+    for f in schema.fields:
+        there, value = F.col("_cast.c")[f.name]["there"], F.col("_cast.c")[f.name]["value"]
+        fine = fine & (value.isNotNull() | ~there if f.nullable else value.isNotNull())
+    values = F.struct(*(F.col("_cast.c")[f.name]["value"].alias(f.name) for f in schema.fields))
+    return rows.select(*df.columns, values.alias("_values"), F.coalesce(fine, F.lit(False)).alias("_fine"))
 
 
 def decode_json(df: DataFrame, schema: str | T.StructType, *, include_metadata: bool = False, on_malformed: str = "error", op_col: str = OP, op_header: str = "dbz.op", observation: Observation | None = None) -> DataFrame:
     """Records with JSON bodies as ``op, declared columns``, and metadata columns if asked for.
 
-    Columns go by name, unknown keys are ignored, numbers and texts are taken for each other where
-    nothing is lost. A malformed body (not one JSON object, a value of the wrong type, a required
+    Columns go by name, unknown keys are ignored (also repeated ones; of a repeated declared one the last counts),
+    numbers and texts are taken for each other where nothing is lost. A malformed body (not one JSON object, a value of the wrong type, a required
     value that is missing) fails the query with its stream and seq_num, or is skipped and counted.
     """
     if on_malformed not in ("error", "skip"):

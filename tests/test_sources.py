@@ -9,6 +9,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+RECORD = "stream string, seq_num long, timestamp long, headers array<struct<key:string,value:string>>, body binary"
+
 LOG = "stream string, seq_num long, timestamp long, headers array<struct<key:string,value:string>>, body binary"
 
 
@@ -121,3 +123,38 @@ def test_snapshot(spark):
     snap = snapshot_rows(spark.createDataFrame([(1, "a")], "id long, name string"), ["id", "name"])
     live = spark.createDataFrame([("u", 5, 0, 1)], "_op string, lsn long, ord long, id long")
     assert [tuple(r) for r in with_snapshot(snap, live).orderBy("lsn").collect()] == [("i", 0, 0, 1, "a"), ("u", 5, 0, 1, None)]
+
+
+def test_values_are_taken_strictly(spark):
+    """One value a body: what is taken for the type, and what is malformed."""
+    cases = {
+        "int64": {"7": 7, '"7"': 7, "1e3": 1000, "5.0": 5, "-0": 0, "1.5": None, '"1.5"': None, "true": None, "[1]": None, '{"a":1}': None, '""': None, "9223372036854775808": None},
+        "float64": {"1.5": 1.5, '"2"': 2.0, "true": None, "[1.0]": None, '"x"': None},
+        "uint8": {"255": 255, "256": None, "-1": None, "true": None},
+        "uint64": {"18446744073709551615": 18446744073709551615, "18446744073709551616": None, "0.5": None},
+        "bool": {"true": True, '"False"': False, "1": None, '"yes"': None},
+        "date": {'"2024-02-29"': "2024-02-29", '"2023-02-29"': None, "2024": None, "true": None},
+        "string": {'"a\\u00e9"': "a\u00e9", "1.50": "1.5", "12345678901234567890.5": "12345678901234567890.5", "true": "true", '{"b": 1}': '{"b":1}'},
+    }
+    for kind, values in cases.items():
+        bodies = [(f'{{"v":{text}}}', n) for n, text in enumerate(values)]
+        df = spark.createDataFrame([("s", n, 0, [], bytearray(b.encode())) for b, n in bodies], RECORD)
+        got = {r._seq_num: r.v for r in decode_json(df, f"v:{kind}", on_malformed="skip", include_metadata=True).collect()}
+        assert {n: str(v) for n, v in got.items()} == {n: str(v) for n, v in enumerate(values.values()) if v is not None}, kind
+        assert malformed_rows(df, f"v:{kind}").count() == sum(v is None for v in values.values())
+
+
+def test_bodies_that_are_one_object(spark):
+    good = ['{"id":1}', ' \t\r\n{"id":1}\n', '{"id":1,"x":1,"x":2}', '{"x":{"id":2},"id":1}', '{"id":2,"id":1}', '{"id":1,"y":"],["}']
+    bad = ["{'id':1}", "{id:1}", '{"id":NaN}', '{"id":1}{"id":2}', '{"id":1},{"id":2}', '[{"id":1}]', "null", "1", '"id"', "", " ", '{"id":1', '{"id":1}],[2', '{"id":1}]', "\u00a0{}", '{"id":null}', "{}", '{"id":01}', '{"id":1,}']
+    for bodies, fine in ((good, True), (bad, False)):
+        df = spark.createDataFrame([("s", n, 0, [], bytearray(b.encode())) for n, b in enumerate(bodies)], RECORD)
+        assert [r.id for r in decode_json(df, "id:int64", on_malformed="skip").collect()] == [1] * (len(bodies) if fine else 0)
+        assert malformed_rows(df, "id:int64").count() == (0 if fine else len(bodies))
+
+
+def test_a_body_is_parsed_once(spark):
+    df = spark.createDataFrame([("s", 0, 0, [], bytearray(b'{"id":1}'))], RECORD)
+    for mode in ("skip", "error"):
+        plan = decode_json(df, "id:int64,v:string?", on_malformed=mode)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1
