@@ -28,6 +28,11 @@ POSTGRES = {
     "timestamp": T.TimestampNTZType(), "timestamptz": T.TimestampType(),
 }
 
+#: Conversions that lose nothing; any other difference of types gives null.
+WIDER = {
+    ("smallint", "int"), ("smallint", "bigint"), ("int", "bigint"), ("float", "double"), ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"),
+}
+
 #: Ranges of unsigned types, which the wider signed type doesn't enforce.
 UNSIGNED = {"uint8": 2**8 - 1, "uint16": 2**16 - 1, "uint32": 2**32 - 1, "uint64": 2**64 - 1}
 

@@ -44,6 +44,18 @@ from events
 """
 
 
+#: Rows of orders as JSON images, in three eras of their table's schema: a column is added, then one widened and one dropped.
+VERSIONED = """
+select o_orderkey as k, cast(o_orderkey as bigint) * 10 as lsn,
+       case when o_orderkey % 83 = 0 then '{"k":"x' || o_orderkey || '"}'
+            when o_orderkey % 3 = 0 then '{"k":' || o_orderkey || ',"status":"' || o_orderstatus || '"}'
+            else '{"k":' || o_orderkey || ',"status":"' || o_orderstatus || '","cust":"' || o_custkey || '","extra":1}' end as body
+from orders
+"""
+#: Snapshot ids and schemas of the eras.
+ERAS = ((100, "k:int32,status:string"), (20000, "k:int32,status:string,cust:int32?"), (90000, "k:int64,cust:int32?"))
+
+
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Runs a feed on the tables it names, given as arguments so that no view is left in the session."""
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"from {t}" in text}
@@ -79,3 +91,14 @@ def envelope(spark: SparkSession, sf_dir: str, *, more_headers: bool = False) ->
     if more_headers:
         own = F.concat(own, F.array(header("k", F.lit("1")), header("a", F.col("event_type")), header("k", F.lit("2"))))
     return rows.select("stream", "seq_num", F.col("ts").alias("timestamp"), own.alias("headers"), F.col("body").cast("binary").alias("body"), "event_id", "event_type")
+
+
+def versioned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Images of one table, and its schema versions."""
+    rows = _sql(spark, sf_dir, VERSIONED).withColumn("tbl", F.lit("public.orders"))
+    return rows, spark.createDataFrame([("public.orders", at, text) for at, text in ERAS], "tbl string, snapshot_id long, schema string")
+
+
+#: A copy of orders by key ranges, with the log's positions around each range's read.
+CUTS = (1500, 4000, 9000)
+MARKS = tuple((r, 12000 * r, 12000 * r + 30000) for r in range(len(CUTS) + 1))

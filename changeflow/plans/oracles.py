@@ -1,9 +1,9 @@
-"""DuckDB SQL for the registered queries, written against the tables alone."""
+"""DuckDB SQL for the registered queries. Tables and the SQL of the feeds are shared with them; what is tested is done anew."""
 
 from __future__ import annotations
 
 from changeflow.functions.columns import LAST_MILLIS
-from changeflow.plans.feeds import CHANGES, ENVELOPE, FULL_CHANGES
+from changeflow.plans.feeds import CHANGES, CUTS, ENVELOPE, ERAS, FULL_CHANGES, MARKS, VERSIONED
 
 _ENV = f"with e as ({ENVELOPE}), r as (select *, case dbz_op when 'u' then 'u' when 'd' then 'd' else 'i' end as op from e)"
 _GOOD = _ENV + ", g as (select * from r where case when json_valid(body) then json_type(body) = 'OBJECT' else false end)"
@@ -95,3 +95,27 @@ ORACLE_SQL = {
 }
 
 ORACLE_SQL["folded_log"] = ORACLE_SQL["current_state"]
+
+_LEFT = f"""with c as ({FULL_CHANGES}), l as (select * from c where kind in ('insert', 'update', 'delete') qualify row_number() over (partition by k order by lsn desc) = 1),
+  s as (select status, price from l where kind <> 'delete' and price is not null)"""
+ORACLE_SQL["extremes_under_retraction"] = _LEFT + """ select status, count(*) as n_values, count(distinct price) as n_distinct, min(price) as min_price, max(price) as max_price,
+  (select string_agg(cast(price as varchar), ',' order by price desc) from (select price from s x where x.status = s.status order by price desc limit 3)) as top_price from s group by status"""
+ORACLE_SQL["null_operation_counts"] = _CH + " select tbl, count(*) as n_rows, count(*) filter (k % 11 = 0) as n_rejected from c group by tbl"
+ORACLE_SQL["log_runs"] = _ENV + """, s as (select case when event_id % 40 < 25 then 'events/most' else stream end as stream, event_id from r),
+  n as (select *, row_number() over (order by event_id) - row_number() over (partition by stream order by event_id) as run from s)
+  select stream, min(event_id) as first, max(event_id) as last, count(*) as n_rows from n group by stream, run"""
+ORACLE_SQL["batches_of_one_user"] = """with n as (select event_id, row_number() over (order by event_id) - 1 as i from events)
+  select i // 10 as batch, count(*) as n_messages, string_agg('{"user":1,"event_id":' || event_id || '}', '|' order by i) as bodies from n group by i // 10"""
+ORACLE_SQL["nested_bytes"] = """select '{"event_id":' || event_id || ',"s":{"b":"' || lower(hex(event_type)) || '","l":["' || lower(hex(event_type)) || '",null]},"n":"' || event_id || '"}' as body from events"""
+_RANGE = "case " + " ".join(f"when k < {c} then {r}" for r, c in enumerate(CUTS)) + f" else {len(CUTS)} end"
+_MARKS = "m as (select * from (values " + ", ".join(map(str, MARKS)) + ") as t(range, low, high))"
+ORACLE_SQL["snapshot_ranges"] = _IMAGES + f""", {_MARKS}, old as (select o_orderkey as k from orders where o_orderkey % 9 <> 0),
+  copied as (select k, low, high from (select k, {_RANGE} as range from old) join m using (range)),
+  a as (select 'i' as op, low as lsn, k, 'COPY' as status, 1 as late from copied p where not exists (select 1 from n where n.k = p.k and n.lsn > p.low and n.lsn <= p.high)
+        union all select op, lsn, k, status, 0 from n),
+  l as (select * from a qualify row_number() over (partition by k order by lsn desc, late desc) = 1) select k, op, lsn, status from l where op <> 'd'"""
+_ERA = "case " + " ".join(f"when lsn >= {at} then {at}" for at, _ in reversed(ERAS)) + " end"
+ORACLE_SQL["decoded_by_version"] = f"""with v as ({VERSIONED}), e as (select *, {_ERA} as snapshot_id from v)
+  select lsn, snapshot_id, case when snapshot_id is not null then try_cast(body->>'$.k' as bigint) end as k, case when snapshot_id >= 20000 then cast(body->>'$.cust' as bigint) end as cust,
+    case when snapshot_id < 90000 then body->>'$.status' end as status,
+    case when snapshot_id is null or k % 83 = 0 then true else false end as malformed from e"""

@@ -11,10 +11,10 @@ from changeflow.operators.layout import partition_counts
 from changeflow.operators.messages import message_batches, render_relational, route, route_runs, row_to_json, to_log_records
 from changeflow.operators.progress import catalog_diff, dedupe_replay, merge_positions, positions, prune_versions, schema_asof
 from changeflow.operators.relational import last_operations
-from changeflow.operators.state import apply_changes, change_counts, first_by_key, fold_changes, latest_by_key, retract_agg, split_ops
-from changeflow.plans.feeds import FULL_ORDERS, ORDERS, changes, envelope
-from changeflow.sources.changes import align_by_name, changes_for, coerce, normalize_changes, snapshot_rows, to_text, unclaimed_tables, with_snapshot
-from changeflow.sources.envelope import decode_json, from_position, malformed_rows, select_streams
+from changeflow.operators.state import apply_changes, change_counts, first_by_key, fold_changes, latest_by_key, null_operations, retract_agg, retract_extremes, split_ops
+from changeflow.plans.feeds import CUTS, FULL_ORDERS, MARKS, ORDERS, changes, envelope, versioned
+from changeflow.sources.changes import align_by_name, changes_for, coerce, normalize_changes, snapshot_by_ranges, snapshot_rows, to_text, unclaimed_tables, with_snapshot
+from changeflow.sources.envelope import decode_by_version, decode_json, from_position, malformed_rows, select_streams
 from changeflow.sources.envelope import envelope as raw_envelope
 
 EVENT = "event_id:int64,user_id:int64,event_type:string?"
@@ -371,3 +371,57 @@ def folded_log(spark, sf_dir):
 def deduped_replay(spark, sf_dir):
     log = envelope(spark, sf_dir)
     return dedupe_replay(log.union(log.where("seq_num % 3 = 0"))).select("stream", "seq_num", "event_id")
+
+
+@query
+def extremes_under_retraction(spark, sf_dir):
+    """Smallest, largest, distinct and the three largest prices of what is left after all updates and deletes."""
+    rows = normalize_changes(changes(spark, sf_dir, full=True), FULL_ORDERS, keys=["k"], emit_update_before=True, complete="full")
+    found = retract_extremes(rows, ["status"], "price", k=3, complete="full")
+    return found.withColumn("top_price", F.array_join(F.transform("top_price", lambda x: x.cast("string")), ","))
+
+
+@query
+def null_operation_counts(spark, sf_dir):
+    """How many rows of each table a fold would reject."""
+    rows = changes(spark, sf_dir).select("tbl", F.when(F.col("k") % 11 != 0, F.col("kind")).alias("_op"))
+    return null_operations(rows, ("tbl",))
+
+
+@query
+def log_runs(spark, sf_dir):
+    """Runs of the whole log as one sequence."""
+    rows = envelope(spark, sf_dir).select(F.when(F.col("event_id") % 40 < 25, "events/most").otherwise(F.col("stream")).alias("stream"), "event_id")
+    return route_runs(rows, order=("event_id",))
+
+
+@query
+def batches_of_one_user(spark, sf_dir):
+    """All rows in one order: full batches but for the last."""
+    rows = _table(spark, sf_dir, "events").select(F.lit(1).alias("user"), "event_id")
+    return message_batches(rows, 10, by="user", order=("event_id",)).select("batch", F.size("bodies").cast("long").alias("n_messages"), F.array_join("bodies", "|").alias("bodies"))
+
+
+@query
+def nested_bytes(spark, sf_dir):
+    """Bytes as hex and 256-bit numbers as decimals, at every depth."""
+    raw = F.col("event_type").cast("binary")
+    rows = _table(spark, sf_dir, "events").select("event_id", F.struct(raw.alias("b"), F.array(raw, F.lit(None).cast("binary")).alias("l")).alias("s"), F.unhex(F.lpad(F.hex("event_id"), 64, "0")).alias("n"))
+    return row_to_json(rows, u256=("n",))
+
+
+@query
+def snapshot_ranges(spark, sf_dir):
+    """The state of orders from a copy made range by range while changes went on, and these changes."""
+    old = _table(spark, sf_dir, "orders").where("o_orderkey % 9 <> 0").select(F.col("o_orderkey").alias("k"), F.lit("COPY").alias("status"))
+    live = _orders(spark, sf_dir).select("_op", "lsn", "ord", "k", "status")
+    marks = spark.createDataFrame(MARKS, "range int, low long, high long")
+    rows = snapshot_by_ranges(old, live, "k", list(CUTS), marks)
+    return latest_by_key(rows, ["k"]).select("k", F.col("_op").alias("op"), "lsn", "status")
+
+
+@query
+def decoded_by_version(spark, sf_dir):
+    """Images read by the schema in force: a column added, one widened, one dropped."""
+    events, versions = versioned(spark, sf_dir)
+    return decode_by_version(events, versions, "k:int64,cust:int64,status:string").drop("tbl")

@@ -6,18 +6,15 @@ by column), and ``old_kind``: ``full`` or ``key``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.functions.columns import cell_text
-from changeflow.functions.schema import OP
+from changeflow.functions.schema import OP, WIDER
+from changeflow.operators.ranges import range_of
 
 ROWS = ("insert", "copy", "update", "delete")
-#: Conversions that lose nothing; any other difference of types gives null.
-_WIDER = {
-    ("smallint", "int"), ("smallint", "bigint"), ("int", "bigint"), ("float", "double"), ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"),
-}
 
 
 def changes_for(df: DataFrame, table: str) -> DataFrame:
@@ -83,7 +80,7 @@ def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
         have, want = df.schema[f.name].dataType, f.dataType
         if have == want:
             continue
-        if isinstance(have, (T.StringType, T.NullType)) or (have.simpleString(), want.simpleString()) in _WIDER:
+        if isinstance(have, (T.StringType, T.NullType)) or (have.simpleString(), want.simpleString()) in WIDER:
             out[f.name] = F.col(f.name).try_cast(want)
         else:
             out[f.name] = F.lit(None).cast(want)
@@ -101,3 +98,38 @@ def snapshot_rows(df: DataFrame, columns: list[str], *, op_col: str = OP) -> Dat
 
 def with_snapshot(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     return snapshot.unionByName(changes, allowMissingColumns=True)
+
+
+def read_ranges(spark: SparkSession, url: str, table: str, key: str, cuts: list, *, properties: dict[str, str] | None = None) -> DataFrame:
+    """A relational table read in key ranges, a connection and a task for each; a row without a key is in the first.
+
+    ``key`` as it is to stand in a condition; ``cuts`` are numbers (``ranges.cuts_of`` an earlier copy, for example), sorted.
+    """
+    if sorted(set(cuts)) != list(cuts) or not all(isinstance(c, (int, float)) for c in cuts):
+        raise ValueError("cuts must be distinct numbers in order")
+    if not cuts:
+        return spark.read.jdbc(url, table, properties=properties or {})
+    low = [f"({key} < {cuts[0]} OR {key} IS NULL)"]
+    parts = low + [f"{key} >= {a} AND {key} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)] + [f"{key} >= {cuts[-1]}"]
+    return spark.read.jdbc(url, table, predicates=parts, properties=properties or {})
+
+
+def snapshot_by_ranges(table: DataFrame, changes: DataFrame, key: str, cuts: list, marks: DataFrame, *, op_col: str = OP) -> DataFrame:
+    """A table that was copied range by range while changes went on, and these changes: change rows whose fold is the table.
+
+    ``marks`` has ``range, low, high`` for each range of ``cuts``: the log's positions right before and right after it was read. A
+    copied row has all changes up to ``low`` in it, and maybe some up to ``high``. So a change of the key between the two wins over
+    the copied row, which is left out; other copied rows are inserts at ``low``, after all changes that they contain. Changes up to
+    ``low`` stay, for keys that were deleted before the copy. A range without marks is an error. Only keys changed
+    between the marks are shuffled to the copied rows; the marks are broadcast, one row for each range.
+    """
+    if marks.count() > len(cuts) + 1:
+        raise ValueError("more marks than ranges")
+    between = F.broadcast(marks.select(F.col("range").alias("_range"), F.col("low").cast("long").alias("_low"), F.col("high").cast("long").alias("_high")))
+    placed = lambda df: df.withColumn("_range", range_of(F.col(key), cuts)).join(between, "_range", "left")
+    fail = F.raise_error(F.concat(F.lit("no marks of range "), F.col("_range").cast("string"))).cast("long")
+    copied = placed(table).withColumn("_low", F.coalesce("_low", fail))
+    changed = placed(changes).where((F.col("lsn") > F.col("_low")) & (F.col("lsn") <= F.col("_high"))).select(F.col(key).alias("_key")).distinct()
+    kept = copied.join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    rows = kept.select(F.lit("i").alias(op_col), F.col("_low").alias("lsn"), F.lit(2**31 - 1).cast("long").alias("ord"), *table.columns)
+    return rows.unionByName(changes, allowMissingColumns=True)

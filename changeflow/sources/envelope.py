@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.functions.columns import clamp_timestamp, header_value, headers_json, known_op, lossy_utf8, restore_op
-from changeflow.functions.schema import METADATA, OP, check_reserved, parse_schema
+from changeflow.functions.schema import METADATA, OP, WIDER, check_reserved, parse_schema
+from changeflow.operators.progress import schema_asof
 
 #: Ends a body's array when a body is tested; no record holds it.
 _MARK = "~changeflow-end-of-body~"
@@ -85,11 +86,15 @@ def is_single_json_object(body: Column) -> Column:
     return _one_object(_parsed(body, [])) & F.ltrim(body, F.lit(" \t\r\n")).startswith("{")
 
 
+def _text(raw: Column, field: T.StructField) -> Column:
+    return F.try_variant_get(raw, "$", "string") if isinstance(field.dataType, T.StringType) else raw
+
+
 def _typed(text: Column, field: T.StructField) -> Column:
-    """A raw value in the declared type, null where it isn't one: 1.5 and true are no integers, 2024 is no date."""
+    """The text of a value in the declared type, null where it isn't one: 1.5 and true are no integers, 2024 is no date."""
     kind = field.dataType
     if isinstance(kind, T.StringType):
-        return F.try_variant_get(text, "$", "string")
+        return text
     if isinstance(kind, T.BooleanType):
         return F.when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
     if isinstance(kind, (T.IntegralType, T.DecimalType)):
@@ -115,7 +120,7 @@ def _decoded(df: DataFrame, schema: T.StructType) -> DataFrame:
     first = F.get(F.col("_parse.p"), F.lit(0))
     whole = _one_object(F.col("_parse.p")) & F.ltrim(F.col("_text"), F.lit(" \t\r\n")).startswith("{")
     there = lambda f: F.lit(False) if isinstance(f.dataType, T.StringType) else first[f.name].isNotNull()  # noqa: E731  any value is a text
-    pairs = [F.struct(there(f).alias("there"), _typed(first[f.name], f).alias("value")).alias(f.name) for f in schema.fields]
+    pairs = [F.struct(there(f).alias("there"), _typed(_text(first[f.name], f), f).alias("value")).alias(f.name) for f in schema.fields]
     rows = once(rows, F.struct(whole.alias("whole"), F.struct(*pairs).alias("c")), "_cast")
     fine = F.col("_cast.whole")
     for f in schema.fields:
@@ -153,3 +158,43 @@ def malformed_rows(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     """The records that ``on_malformed="skip"`` leaves out, as they are."""
     schema = parse_schema(schema) if isinstance(schema, str) else schema
     return _decoded(df, schema).where(~F.col("_fine")).select(*df.columns)
+
+
+def decode_by_version(events: DataFrame, versions: DataFrame, output: str | T.StructType, *, body: str = "body", most: int = 1000) -> DataFrame:
+    """``tbl, lsn, snapshot_id, output columns, malformed``: JSON images read by the schema that was in force at their ``lsn``.
+
+    ``versions`` has ``tbl, snapshot_id, schema`` (schemas as text, see ``parse_schema``), at most ``most`` of them: they become one
+    projection with a branch for each. An image is parsed once. A version reads only its own columns in its own types; they are
+    aligned by name to the output and widened where that loses nothing, and what a version doesn't have is null. ``malformed`` tells
+    rows with a value that is not of its version's type (it is null), without a required one, with a body that isn't one object, or before all versions.
+    """
+    output = parse_schema(output) if isinstance(output, str) else output
+    given = versions.select("tbl", F.col("snapshot_id").cast("long"), "schema").distinct().limit(most + 1).collect()
+    if len(given) > most:
+        raise ValueError(f"more than {most} versions; decode table by table")
+    schemas = {(r.tbl, r.snapshot_id): parse_schema(r.schema) for r in given}
+    if len(schemas) < len(given):
+        raise ValueError("two schemas for one version")
+    names = sorted({f.name for s in schemas.values() for f in s.fields})
+    found = schema_asof(events.select("tbl", "lsn", lossy_utf8(F.col(body)).alias("_text")), versions.select("tbl", "snapshot_id").distinct())
+    raw = F.struct(_parsed(F.col("_text"), [T.StructField(n, T.StringType()) for n in names]).alias("p"))
+    rows = found.select("*", F.explode(F.array(raw)).alias("_parse"))
+    first = F.get(F.col("_parse.p"), F.lit(0))
+    whole = _one_object(F.col("_parse.p")) & F.ltrim(F.col("_text"), F.lit(" \t\r\n")).startswith("{")
+    rows = rows.select("tbl", "lsn", "snapshot_id", F.explode(F.array(F.struct(whole.alias("whole"), *(F.try_variant_get(first[n], "$", "string").alias(f"v{k}") for k, n in enumerate(names))))).alias("_v"))
+    text = {n: F.col(f"_v.v{k}") for k, n in enumerate(names)}
+    values = {f.name: F.lit(None).cast(f.dataType) for f in output.fields}
+    bad = F.lit(True)
+    for (tbl, snapshot), schema in schemas.items():
+        here = (F.col("tbl") == tbl) & (F.col("snapshot_id") == snapshot)
+        typed = {f.name: _typed(text[f.name], f) for f in schema.fields}
+        wrong = ~F.col("_v.whole")
+        for f in schema.fields:
+            wrong = wrong | (typed[f.name].isNull() & (text[f.name].isNotNull() if f.nullable else F.lit(True)))
+        bad = F.when(here, wrong).otherwise(bad)
+        for f in output.fields:
+            if f.name in typed:
+                kind = schema[f.name].dataType
+                fits = kind == f.dataType or (kind.simpleString(), f.dataType.simpleString()) in WIDER
+                values[f.name] = F.when(here, typed[f.name].cast(f.dataType) if fits else F.lit(None).cast(f.dataType)).otherwise(values[f.name])
+    return rows.select("tbl", "lsn", "snapshot_id", *(v.alias(n) for n, v in values.items()), bad.alias("malformed"))

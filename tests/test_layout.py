@@ -1,0 +1,103 @@
+import os
+import random
+import uuid
+from collections import Counter
+
+import pyarrow.parquet as pq
+import pytest
+from changeflow.operators.layout import write_parquet
+from changeflow.operators.ranges import cuts_of
+from changeflow.operators.state import latest_by_key
+from changeflow.sources.changes import read_ranges, snapshot_by_ranges
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+
+def files(path):
+    """(directory, rows) of each file."""
+    return [(os.path.relpath(d, path), pq.ParquetFile(f"{d}/{f}").metadata.num_rows) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_files_by_size(spark, tmp_path, exact):
+    """A skewed column: large directories get files of about the size, small ones a file each."""
+    df = spark.range(10_000).select("id", F.when(F.col("id") < 9_000, "hot").when(F.col("id") < 9_400, "warm").otherwise(F.concat(F.lit("c"), F.col("id") % 20)).alias("k"), F.create_map(F.lit("a"), "id").alias("m"))
+    write_parquet(df, str(tmp_path / "t"), partition_columns="k", exact_paths=exact, file_rows=500)
+    found = files(tmp_path / "t")
+    assert sum(n for _, n in found) == 10_000 and max(n for _, n in found) <= 500
+    per = Counter(d for d, _ in found)
+    hot = next(n for d, n in per.items() if "hot" in d)
+    assert 18 <= hot <= 40 and all(n == 1 for d, n in per.items() if "hot" not in d)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).select("id").collect()) == list(range(10_000))
+
+
+def test_files_without_directories(spark, tmp_path):
+    write_parquet(spark.range(2_000), str(tmp_path / "t"), file_rows=300)
+    found = files(tmp_path / "t")
+    assert sum(n for _, n in found) == 2_000 and max(n for _, n in found) <= 300 and len(found) <= 14
+    with pytest.raises(ValueError):
+        write_parquet(spark.range(3), str(tmp_path / "t"), file_rows=0)
+
+
+@pytest.mark.parametrize("columns", [None, "k"])
+def test_empty_table_makes_no_file(spark, tmp_path, columns):
+    write_parquet(spark.createDataFrame([], "id long, k string"), str(tmp_path / "t"), partition_columns=columns, file_rows=10)
+    write_parquet(spark.createDataFrame([], "id long, k string"), str(tmp_path / "t"), partition_columns=columns)
+    assert files(tmp_path / "t") == []
+
+
+def test_snapshot_by_ranges_equals_the_table(spark):
+    """A table changes while it is copied range by range; the copy and the changes fold to what the table is at the end."""
+    for seed in range(4):
+        rng = random.Random(seed)
+        table = {k: f"s{k}" for k in rng.sample(range(40), 25)}
+        cuts, marks, copied, log, lsn = [10, 20, 30], [], [], [], 0
+
+        def change():
+            nonlocal lsn
+            lsn += 1
+            k = rng.randrange(40)
+            if k in table and rng.random() < 0.4:
+                del table[k]
+                log.append(("d", lsn, 0, k, None))
+            else:
+                log.append(("u" if k in table else "i", lsn, 0, k, f"v{lsn}"))
+                table[k] = log[-1][4]
+
+        for r, (a, b) in enumerate([(0, 10), (10, 20), (20, 30), (30, 40)]):
+            for _ in range(rng.randrange(8)):
+                change()
+            low = lsn
+            keys = list(range(a, b))
+            rng.shuffle(keys)
+            for k in keys:  # rows are read one by one while changes go on
+                if rng.random() < 0.5:
+                    change()
+                if k in table:
+                    copied.append((k, table[k]))
+            marks.append((r, low, lsn))
+        for _ in range(5):
+            change()
+        changes = spark.createDataFrame(log, "_op string, lsn long, ord long, k long, v string")
+        rows = snapshot_by_ranges(spark.createDataFrame(copied, "k long, v string"), changes, "k", cuts, spark.createDataFrame(marks, "range int, low long, high long"))
+        assert {r.k: r.v for r in latest_by_key(rows, ["k"]).collect()} == table
+        assert rows.where("ord > 0").count() < len(copied) or all(low == high for _, low, high in marks)
+    with pytest.raises(PySparkException):
+        snapshot_by_ranges(spark.createDataFrame(copied, "k long, v string"), changes, "k", cuts, spark.createDataFrame(marks[1:], "range int, low long, high long")).collect()
+    with pytest.raises(ValueError):
+        snapshot_by_ranges(changes, changes, "k", [], spark.createDataFrame(marks, "range int, low long, high long"))
+
+
+def test_table_read_in_ranges(spark):
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    df = spark.range(1, 500).select(F.when(F.col("id") % 50 != 0, F.col("id")).alias("id"), F.col("id").cast("string").alias("v"))
+    df.write.jdbc(url, "t")
+    cuts = cuts_of(df, "id", 4)
+    back = read_ranges(spark, url, "t", '"id"', cuts)
+    assert back.rdd.getNumPartitions() == 4 and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    sizes = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 150
+    assert read_ranges(spark, url, "t", "id", []).count() == 499
+    for bad in ([3, 1], ["x"], [1, 1]):
+        with pytest.raises(ValueError):
+            read_ranges(spark, url, "t", "id", bad)
