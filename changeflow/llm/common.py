@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +38,45 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_OWNER: contextvars.ContextVar[str] = contextvars.ContextVar("owner", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder, or under its part that a ``scratch_owner`` has."""
+    return f"{shared_folder(spark)}/{_OWNER.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch_owner(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what is written to scratch within it. Results have to be written elsewhere before."""
+    owner = f"owner-{uuid.uuid4().hex}/"
+    before = _OWNER.set(owner)
+    try:
+        yield
+    finally:
+        _OWNER.reset(before)
+        removed(spark, f"{shared_folder(spark)}/{owner}")
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, as Spark's Hadoop client knows it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def freeing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives memory back to the system when it ends: the worker process stays for tasks of other stages."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what it has
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import doc_texts, written
+from changeflow.llm.common import doc_texts, freeing, written
 
 _TABLE = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 #: Items of one posting block; items of one index, which is broadcast (about 60 words each: 50 MB).
@@ -171,7 +171,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.6, least
                 columns = zip(*found, strict=True) if found else [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int32()], strict=True)], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "passages"])
 
-        one = doc_texts(docs).mapInArrow(run, shape)
+        one = doc_texts(docs).mapInArrow(freeing(run), shape)
         out = one if out is None else out.union(one)
     return out
 
@@ -185,12 +185,12 @@ def _indexes(spark, benchmark: DataFrame) -> Iterator:
         yield spark.sparkContext.broadcast(Index.build([(r.item_id, r.text) for r in rows if words_of(r.text)]))
         return
     shape = "term binary, items long, words long, longest long"
-    counts = items.select("text").mapInArrow(_term_counts, shape).groupBy("term").agg(F.sum("items").alias("items"), F.sum("words").alias("words"), F.max("longest").alias("longest"))
+    counts = items.select("text").mapInArrow(freeing(_term_counts), shape).groupBy("term").agg(F.sum("items").alias("items"), F.sum("words").alias("words"), F.max("longest").alias("longest"))
     counts = written(counts, "benchmark-terms")
     whole = counts.where("term is null").first()
     for k in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        mine = part.select("text").mapInArrow(_term_counts, shape).where("term is not null").select("term").distinct()
+        mine = part.select("text").mapInArrow(freeing(_term_counts), shape).where("term is not null").select("term").distinct()
         df = {bytes(r.term): r["items"] for r in counts.join(mine, "term").select("term", "items").collect()}
         rows = [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect() if words_of(r.text)]
         yield spark.sparkContext.broadcast(Index.build(rows, (whole["items"], whole["words"], whole["longest"], df) if whole else None))
@@ -216,5 +216,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, *, threshold: float =
                 texts = batch.column(batch.schema.names.index("text"))
                 yield batch.filter(pa.array([not contaminated(t.as_py() or "", bc.value, threshold, least_overlap) for t in texts], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(freeing(run), docs.schema)
     return docs

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import doc_texts
+from changeflow.llm.common import doc_texts, freeing
 
 SPACE = "▁"
 #: Chunks that a task remembers; it bounds memory, not results.
@@ -195,7 +195,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))), part.column(2)], names=["doc_id", "ids", "text_sha256"])
         vocabulary.memo = {}  # the process goes on to other tasks
 
-    return doc_texts(docs).withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256)).mapInArrow(run, "doc_id long, ids array<int>, text_sha256 string")
+    return doc_texts(docs).withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256)).mapInArrow(freeing(run), "doc_id long, ids array<int>, text_sha256 string")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -216,7 +216,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                     names=["doc_id", "ids", "n_ids", "ids_crc32", "text", "text_sha256"],
                 )
 
-    return encoded.select("doc_id", "ids", "text_sha256").mapInArrow(run, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, text string, text_sha256 string")
+    return encoded.select("doc_id", "ids", "text_sha256").mapInArrow(freeing(run), "doc_id long, ids array<int>, n_ids long, ids_crc32 long, text string, text_sha256 string")
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:

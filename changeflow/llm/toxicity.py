@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import doc_texts, small_batches, written
+from changeflow.llm.common import doc_texts, freeing, small_batches, written
 
 # What a character of leetspeak may stand for.
 LEET = {
@@ -161,7 +161,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def character_counts(docs: DataFrame) -> DataFrame:
     """``gram, n`` of all documents: at most (letters + 2) ** 3 rows, whatever the corpus."""
-    return doc_texts(docs).select("text").mapInArrow(_trigrams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return doc_texts(docs).select("text").mapInArrow(freeing(_trigrams), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +317,7 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, li
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = written(doc_texts(docs).join(F.broadcast(known), "doc_id"), "toxicity-sample")
     calibration = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3
-    counts = sample.where(~calibration).select("text", "toxic").mapInArrow(_feature_counts, "feature string, toxic int, n long")
+    counts = sample.where(~calibration).select("text", "toxic").mapInArrow(freeing(_feature_counts), "feature string, toxic int, n long")
     counts = counts.groupBy("feature").agg(F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum("n").alias("n")).where("t >= 3")
     weight = _lower_bound(F.col("t"), F.col("n"), z)
     usual = sample.agg(F.avg("toxic")).first()[0] or 0.0
@@ -325,7 +325,7 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 40_000, li
     weights = {r.feature: r.weight for r in counts.select("feature", weight.alias("weight")).where(F.col("weight") >= max(0.1, min(0.5, lift * usual))).collect()}
     grams = {r.gram: r.n for r in character_counts(docs).collect()}
     bc = spark.sparkContext.broadcast((weights, CharModel(grams)))
-    scored = sample.where(calibration).select("doc_id", "text", "toxic").mapInArrow(_raw_scores(bc), "doc_id long, toxic int, raw double")
+    scored = sample.where(calibration).select("doc_id", "text", "toxic").mapInArrow(freeing(_raw_scores(bc)), "doc_id long, toxic int, raw double")
     bins = scored.groupBy(F.round("raw", 2).alias("x")).agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).orderBy("x").collect()
     return ToxicityModel(weights, grams, _monotone([(r.x, r.t, r.n) for r in bins] or [(0.5, 1, 2)]))
 
@@ -337,7 +337,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3) -> D
     no rows. Only doc_id and text are read, other columns never matter.
     """
     bc = docs.sparkSession.sparkContext.broadcast((model.weights, CharModel(model.grams)))
-    raw = doc_texts(docs).mapInArrow(_raw_scores(bc), "doc_id long, raw double")
+    raw = doc_texts(docs).mapInArrow(freeing(_raw_scores(bc)), "doc_id long, raw double")
     curve = F.lit(model.curve[-1][1])
     for (x0, y0), (x1, y1) in reversed(list(zip(model.curve, model.curve[1:], strict=False))):
         curve = F.when(F.col("raw") <= x1, F.lit(y1) if x1 == x0 else F.lit(y0) + (F.col("raw") - x0) * ((y1 - y0) / (x1 - x0))).otherwise(curve)
@@ -359,4 +359,4 @@ def clean_documents(docs: DataFrame, model: ToxicityModel, *, threshold: float =
             texts = batch.column(batch.schema.names.index("text"))
             yield batch.filter(pa.array([curve.calibrated(scorer.raw(t.as_py() or "")) < threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freeing(run), docs.schema)

@@ -95,3 +95,23 @@ def test_stages_on_odd_tables(spark, corpus, name, stage):
     assert len(out) == (5 if name == "ngram_join" else 6)
     if name != "sentencepiece":
         assert {(r.doc_id, r.score) for r in out} >= {(None, 0.5), (1, 0.5), (2, 0.5), (3, 0.5)}
+
+
+def test_run_leaves_only_its_result(spark, tmp_path):
+    import os
+
+    import corpus_pipeline
+    from changeflow.llm.common import scratch_owner, scratch_path, shared_folder
+
+    before = set(os.listdir(shared_folder(spark)))
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert rows.count() > 0
+    left = set(os.listdir(shared_folder(spark))) - before
+    assert len(left) == 1 and next(iter(left)).startswith("pipeline-sentencepiece")
+    try:
+        with scratch_owner(spark):
+            spark.range(3).write.parquet(scratch_path(spark, "x"))
+            raise RuntimeError
+    except RuntimeError:
+        pass
+    assert set(os.listdir(shared_folder(spark))) - before == left
