@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import scratch_path, table, written
+from changeflow.llm.common import removed, scratch_owner, scratch_path, table, written
 from changeflow.llm.decontam import clean_documents as without_benchmark
 from changeflow.llm.jaccard import FEW, similar_groups
 from changeflow.llm.pii import pseudonymized_documents
@@ -78,10 +78,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_ids, ids_crc32, n_chars, round_trip`` of the documents that all stages keep."""
-    docs = table(spark, sf_dir, "documents")
+    """``doc_id, ids, n_ids, ids_crc32, n_chars, round_trip`` of the documents that all stages keep.
+
+    A stage's scratch, and the output of the stage before, are removed once its own output is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_owner(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            removed(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
