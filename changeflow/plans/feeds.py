@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,3 +106,13 @@ def versioned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 #: A copy of orders by key ranges, with the log's positions around each range's read.
 CUTS = (1500, 4000, 9000)
 MARKS = tuple((r, 12000 * r, 12000 * r + 30000) for r in range(len(CUTS) + 1))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the driver and all executors share; a temporary one only where Spark is one process."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-changeflow-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

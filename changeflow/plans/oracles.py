@@ -119,3 +119,5 @@ ORACLE_SQL["decoded_by_version"] = f"""with v as ({VERSIONED}), e as (select *,
   select lsn, snapshot_id, case when snapshot_id is not null then try_cast(body->>'$.k' as bigint) end as k, case when snapshot_id >= 20000 then cast(body->>'$.cust' as bigint) end as cust,
     case when snapshot_id < 90000 then body->>'$.status' end as status,
     case when snapshot_id is null or k % 83 = 0 then true else false end as malformed from e"""
+ORACLE_SQL["log_source"] = _ENV + """ select op, stream, seq_num, epoch_us(ts) // 1000 as "timestamp", case when dbz_op is not null then '{"dbz.op":"' || dbz_op || '"}' end as headers, body from r"""
+ORACLE_SQL["log_sink"] = _IMAGES + """ select 'orders' as stream, case op when 'i' then 'c' else op end as code, '{"k":' || k || ',"lsn":' || lsn || '}' as body from n"""

@@ -12,7 +12,7 @@ from changeflow.operators.messages import message_batches, render_relational, ro
 from changeflow.operators.progress import catalog_diff, dedupe_replay, merge_positions, positions, prune_versions, schema_asof
 from changeflow.operators.relational import last_operations
 from changeflow.operators.state import apply_changes, change_counts, first_by_key, fold_changes, latest_by_key, null_operations, retract_agg, retract_extremes, split_ops
-from changeflow.plans.feeds import CUTS, FULL_ORDERS, MARKS, ORDERS, changes, envelope, versioned
+from changeflow.plans.feeds import CUTS, FULL_ORDERS, MARKS, ORDERS, changes, envelope, shared_path, versioned
 from changeflow.sources.changes import align_by_name, changes_for, coerce, normalize_changes, snapshot_by_ranges, snapshot_rows, to_text, unclaimed_tables, with_snapshot
 from changeflow.sources.envelope import decode_by_version, decode_json, from_position, malformed_rows, select_streams
 from changeflow.sources.envelope import envelope as raw_envelope
@@ -425,3 +425,32 @@ def decoded_by_version(spark, sf_dir):
     """Images read by the schema in force: a column added, one widened, one dropped."""
     events, versions = versioned(spark, sf_dir)
     return decode_by_version(events, versions, "k:int64,cust:int64,status:string").drop("tbl")
+
+
+def _written_log(spark, sf_dir) -> str:
+    path = shared_path(spark, "log")
+    rows = envelope(spark, sf_dir).withColumn("timestamp", F.unix_millis(F.col("timestamp").cast("timestamp")))
+    rows.select("stream", "seq_num", "timestamp", "headers", "body").write.partitionBy("stream").parquet(path)
+    return path
+
+
+@query
+def log_source(spark, sf_dir):
+    """The log of events read through the data source, as raw records."""
+    from changeflow.sources.log_source import NAME, register
+
+    register(spark)
+    log = spark.read.format(NAME).option("path", _written_log(spark, sf_dir)).option("stream_prefix", "events/").load()
+    return raw_envelope(log, op_col="op").withColumn("timestamp", F.unix_millis("timestamp"))
+
+
+@query
+def log_sink(spark, sf_dir):
+    """Change rows appended to a log by tasks that stage and a driver that publishes, and read again."""
+    from changeflow.streaming.log_sink import NAME, register
+
+    register(spark)
+    path = shared_path(spark, "sink")
+    to_log_records(_orders(spark, sf_dir).select("_op", "k", "lsn"), stream="orders").write.format(NAME).mode("append").option("path", path).save()
+    rows = spark.read.schema("headers array<struct<key:string,value:string>>, body string, stream string").parquet(path)
+    return rows.select("stream", F.col("headers")[0]["value"].alias("code"), "body")

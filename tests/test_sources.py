@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 from changeflow.sources.changes import align_by_name, changes_for, coerce, normalize_changes, snapshot_rows, unclaimed_tables, with_snapshot
-from changeflow.sources.envelope import decode_json, envelope, from_position, is_single_json_object, malformed_rows, select_streams
+from changeflow.sources.envelope import decode_by_version, decode_json, envelope, from_position, is_single_json_object, malformed_rows, select_streams
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -158,3 +158,20 @@ def test_a_body_is_parsed_once(spark):
     for mode in ("skip", "error"):
         plan = decode_json(df, "id:int64,v:string?", on_malformed=mode)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_json(") == 1
+
+
+def test_images_decoded_by_the_schema_in_force(spark):
+    events = spark.createDataFrame([
+        ("t", 5, '{"id":1}'), ("t", 10, '{"id":1,"v":2}'), ("t", 15, '{"id":"x","v":"2"}'), ("t", 20, '{"id":3000000000,"v":1.5}'), ("t", 25, '{"v":7}'),
+        ("t", 30, '{"id":1,"v":"2024"}'), ("t", 31, "{}{}"), ("u", 30, '{"id":"text","v":null}'), ("none", 1, "{}"), ("t", None, '{"id":1}'),
+    ], "tbl string, lsn long, body string")
+    versions = spark.createDataFrame([("t", 10, "id:int32,v:string?"), ("t", 20, "id:int64,v:float64?"), ("t", 30, "id:int64"), ("u", 1, "id:string,v:int64?")], "tbl string, snapshot_id long, schema string")
+    got = {(r.tbl, r.lsn): (r.snapshot_id, r.id, r.v, r.malformed) for r in decode_by_version(events, versions, "id:int64,v:string,more:date").collect()}
+    assert got == {
+        ("t", 5): (None, None, None, True), ("t", 10): (10, 1, "2", False), ("t", 15): (10, None, "2", True), ("t", 20): (20, 3000000000, None, False), ("t", 25): (20, None, None, True),
+        ("t", 30): (30, 1, None, False), ("t", 31): (30, None, None, True), ("u", 30): (1, None, None, False), ("none", 1): (None, None, None, True), ("t", None): (None, None, None, True),
+    }
+    with pytest.raises(ValueError):
+        decode_by_version(events, versions, "id:int64", most=3)
+    with pytest.raises(ValueError):
+        decode_by_version(events, versions.union(versions.select("tbl", "snapshot_id", F.lit("id:bool"))), "id:int64")
