@@ -98,12 +98,20 @@ def compact(log: DataFrame, path: str, keys: list[str], *, on_conflict: str = "u
 
 
 class Counters(StreamingQueryListener):
-    """Sums the observed metrics of streaming queries, by observation and metric name."""
+    """Sums the observed metrics of streaming queries: ``totals[query][observation][metric]``.
+
+    A query is known by its name, or by its id, which its checkpoint keeps over restarts. Two queries that use one observation
+    name are counted apart; ``total`` adds them up. For counters that outlive the driver there is the ledger.
+    """
 
     def __init__(self, report: Callable[[dict], None] | None = None):
-        self.totals: dict[str, dict[str, int]] = {}
+        self.totals: dict[str, dict[str, dict[str, int]]] = {}
         self.report = report
 
+    def total(self, observation: str, metric: str) -> int:
+        """A metric over all queries."""
+        return sum(mine.get(observation, {}).get(metric, 0) for mine in self.totals.values())
+
     def onQueryStarted(self, event) -> None:
         pass
 
@@ -114,8 +122,9 @@ class Counters(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
+        query = self.totals.setdefault(event.progress.name or str(event.progress.id), {})
         for name, row in event.progress.observedMetrics.items():
-            mine = self.totals.setdefault(name, {})
+            mine = query.setdefault(name, {})
             for metric, value in row.asDict().items():
                 mine[metric] = mine.get(metric, 0) + (value or 0)
         if self.report is not None:
