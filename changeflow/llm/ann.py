@@ -13,6 +13,9 @@ from pyspark.sql.window import Window
 
 from changeflow.llm.common import written
 
+#: Rows that may be broadcast.
+FEW = 1_000_000
+
 
 def _width(dim: int) -> int:
     """The next power of two, which the Hadamard transform needs."""
@@ -41,10 +44,30 @@ def rotated(unit: np.ndarray, table: int, seed: int) -> np.ndarray:
     return x
 
 
-def axis_scores(unit: np.ndarray, table: int, seed: int) -> np.ndarray:
-    """Nearness to each signed axis; column ``k`` is ``+axis k``, column ``n + k`` is ``-axis k``."""
-    x = rotated(unit, table, seed)
-    return np.concatenate([x, -x], axis=1)
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors. Divided by the largest component first: squares of very large or small ones would overflow or vanish."""
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
+def buckets(unit: np.ndarray, table: int, hashes: int, probes: int, seed: int) -> np.ndarray:
+    """The ``probes`` nearest buckets of a table for each vector, nearest first; the first is its own.
+
+    A bucket is one signed axis of each of ``hashes`` rotations: ``k`` stands for ``+axis k``, ``n + k`` for ``-axis k``. Nearness of
+    axes is how much less they score than the nearest one; losses of the rotations add up as squares. Every beginning of a near
+    bucket is near itself, so only ``probes`` of them go into the next rotation.
+    """
+    at, loss = np.zeros((len(unit), 1), np.int64), np.zeros((len(unit), 1))
+    for j in range(hashes):
+        x = rotated(unit, table * hashes + j, seed)
+        score = np.concatenate([x, -x], axis=1)
+        axes = np.argsort(-score, axis=1, kind="stable")[:, :probes]
+        less = (score.max(axis=1, keepdims=True) - np.take_along_axis(score, axes, 1)) ** 2
+        both = (loss[:, :, None] + less[:, None, :]).reshape(len(unit), -1)
+        code = (at[:, :, None] * score.shape[1] + axes[:, None, :]).reshape(len(unit), -1)
+        first = np.argsort(both, axis=1, kind="stable")[:, :probes]
+        at, loss = np.take_along_axis(code, first, 1), np.take_along_axis(both, first, 1)
+    return at
 
 
 def usable(vector: Column) -> Column:
@@ -53,37 +76,114 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
-def _probes(tables: int, probes: int, seed: int):
-    """(cls, vec) to (dim, table, bucket, cls, raw) rows, ``probes`` nearest signed axes a table."""
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, names, vectors) of a batch of (cls, vec), one for each length of vectors."""
+    names, lists = np.array(batch.column(0).to_pylist(), dtype=object), batch.column(1)
+    sizes = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten().to_numpy()
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    for dim in np.unique(sizes):
+        own = np.flatnonzero(sizes == dim)
+        yield int(dim), names[own], np.stack([flat[starts[i] : starts[i] + dim] for i in own])
+
+
+def _probes(tables: int, hashes: int, probes: int, seed: int):
+    """(cls, vec) to (dim, table, bucket, cls, raw) rows, ``probes`` nearest buckets a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, lists = np.array(batch.column(0).to_pylist(), dtype=object), batch.column(1)
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten().to_numpy()
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            for dim in np.unique(sizes):
-                own = np.flatnonzero(sizes == dim)
-                vectors = np.stack([flat[starts[i] : starts[i] + dim] for i in own])
-                # Scaled first: squares of very large or small components would overflow or vanish.
-                unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                raw = [v.tobytes() for v in vectors]
-                for t in range(tables):
-                    scores = axis_scores(unit, t, seed)
-                    near = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
-                    k = near.shape[1]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(own) * k, dim), pa.int32()), pa.array(np.full(len(own) * k, t), pa.int32()), pa.array(near.ravel(), pa.int32()),
-                            pa.array(np.repeat(names[own], k), pa.string()), pa.array([b for b in raw for _ in range(k)], pa.binary()),
-                        ],
-                        names=["dim", "table", "bucket", "cls", "raw"],
-                    )
+            for dim, names, vectors in _by_length(batch):
+                for s in range(0, len(names), 128):  # bounds the products of probes and axes
+                    own, part = names[s : s + 128], vectors[s : s + 128]
+                    unit, raw = _scaled(part), [v.tobytes() for v in part]
+                    for t in range(tables):
+                        near = buckets(unit, t, hashes, probes, seed)
+                        k = near.shape[1]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(own) * k, dim), pa.int32()), pa.array(np.full(len(own) * k, t), pa.int32()), pa.array(near.ravel(), pa.int64()),
+                                pa.array(np.repeat(own, k), pa.string()), pa.array([b for b in raw for _ in range(k)], pa.binary()),
+                            ],
+                            names=["dim", "table", "bucket", "cls", "raw"],
+                        )
 
     return run
 
 
+def _exact(asked: list[tuple[str, np.ndarray]], keep: int):
+    """(query_cls, cls, vec, score): the ``keep`` nearest of a task's vectors for each asked one, itself left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[list[tuple[float, str, np.ndarray]]] = [[] for _ in asked]
+        for batch in batches:
+            for dim, names, vectors in _by_length(batch):
+                for (name, q), mine in zip(asked, best, strict=True):
+                    if len(q) == dim:
+                        apart = distances(np.broadcast_to(q, vectors.shape), vectors)
+                        apart[names == name] = np.inf
+                        near = np.argsort(apart, kind="stable")[:keep]
+                        mine += [(apart[i], names[i], vectors[i]) for i in near if np.isfinite(apart[i])]
+                        mine.sort(key=lambda x: x[:2])
+                        del mine[keep:]
+        rows = [(asked[i][0], name, v, d) for i, mine in enumerate(best) for d, name, v in mine]
+        columns = zip(*rows, strict=True) if rows else [()] * 4
+        types = [pa.string(), pa.string(), pa.list_(pa.float64()), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["query_cls", "cls", "vec", "score"])
+
+    return run
+
+
+def _first_found(queries: np.ndarray, others: list[np.ndarray], tables: int, hashes: int, most: int, seed: int) -> list[np.ndarray]:
+    """For each query, the place among its probes at which each of its ``others`` is first found in some table; ``most`` if in none."""
+    found = [np.full(len(o), most) for o in others]
+    flat, ends = _scaled(np.concatenate(others)), np.cumsum([len(o) for o in others])
+    for t in range(tables):
+        own = np.split(buckets(flat, t, hashes, 1, seed)[:, 0], ends[:-1])
+        for i, near in enumerate(buckets(_scaled(queries), t, hashes, most, seed)):
+            order = np.argsort(near)
+            at = np.minimum(np.searchsorted(near[order], own[i]), len(near) - 1)
+            hit = near[order][at] == own[i]
+            found[i][hit] = np.minimum(found[i][hit], order[at][hit])
+    return found
+
+
+def fitted(classes: DataFrame, queries: DataFrame, *, k: int, tables: int, recall: float, seed: int, sample: int = 128) -> tuple[int, int]:
+    """(hashes, probes) with the fewest expected candidates that reach ``recall`` on a sample of ``sample`` queries.
+
+    The sample's true neighbours come from one pass over all vectors; whether a pair meets depends on its two vectors alone, so every
+    choice is judged without an index. Candidates are estimated on ``8 * sample`` rows. These and ``k * sample`` neighbours are all that
+    the driver holds. One hash with all its buckets probed finds everything, so some choice always reaches ``recall``.
+    """
+    asked = [(r.cls, np.array(r.vec)) for r in queries.orderBy(F.xxhash64("cls"), "cls").limit(sample).collect()]
+    others = [np.array(r.vec) for r in classes.orderBy(F.xxhash64("cls", F.lit(1)), "cls").limit(8 * sample).collect()]
+    by_nearness = Window.partitionBy("query_cls").orderBy("score", "cls")
+    exact = classes.select("cls", "vec").mapInArrow(_exact(asked, k), "query_cls string, cls string, vec array<double>, score double")
+    near: dict[str, list[np.ndarray]] = {}
+    for r in exact.withColumn("at", F.row_number().over(by_nearness)).where(F.col("at") <= k).select("query_cls", "vec").collect():
+        near.setdefault(r.query_cls, []).append(np.array(r.vec))
+    n, best = classes.count(), None
+    for hashes in (1, 2, 3):
+        hits, met, wide = [], [], 1
+        for dim in {len(q) for c, q in asked if c in near}:
+            mine = [(c, q) for c, q in asked if len(q) == dim and c in near]
+            axes = 2 * _width(dim)
+            wide = max(wide, axes)
+            if axes**hashes >= 2**62:
+                continue
+            most, q = axes if hashes == 1 else min(axes**hashes, 256), np.stack([q for _, q in mine])
+            rows = np.stack([o for o in others if len(o) == dim] or [q[0]])
+            for where, pairs in ((hits, [np.stack(near[c]) for c, _ in mine]), (met, [rows] * len(mine))):
+                where += [np.where(f < most, f, 2**31) for f in _first_found(q, pairs, tables, hashes, most, seed)]
+        if not hits:
+            continue
+        hit, meet = np.concatenate(hits), np.concatenate(met)
+        for probes in sorted({*(2**i for i in range(9)), *((wide,) if hashes == 1 else ())}):
+            cost = (meet < probes).mean() * n + probes * tables
+            if (hit < probes).mean() >= recall and (best is None or cost < best[0]):
+                best = (cost, hashes, probes)
+    return best[1:] if best else (1, 1)
+
+
 def distances(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Euclidean distances of two stacks of vectors row by row, in double precision; scaled where squares would overflow or vanish."""
     apart = q - v
@@ -113,11 +213,14 @@ def _rerank(keep: int):
     return run
 
 
-def nearest(rows: DataFrame, is_query: Column, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = 8, probes: int = 16, seed: int = 20, cell_rows: int = 4096, cell_queries: int = 1024) -> DataFrame:
+def nearest(rows: DataFrame, is_query: Column, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = 8, hashes: int | None = None, probes: int | None = None,
+            recall: float = 0.96, seed: int = 20, cell_rows: int = 4096, cell_queries: int = 1024) -> DataFrame:
     """The ``k`` nearest rows of each query row: ``query_id, rank, vec_id, score`` (Euclidean).
 
     Every usable row is hashed into one bucket of each of ``tables`` tables; a query looks into its
     ``probes`` nearest buckets of each. Candidates are reranked exactly on the original vectors.
+    A bucket is an axis of each of ``hashes`` rotations, so there are more of them with more hashes.
+    Without ``hashes`` and ``probes`` both are ``fitted`` to the vectors, for ``recall``.
 
     Equal vectors are hashed and compared once: a class keeps its ``k + 1`` smallest ids, which is
     all that any query can return of it, so copies cost nothing and lose nothing. Buckets are cut
@@ -139,18 +242,23 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 10, id_col: str = "ve
     asked = written(clean.where("asked").join(classes, "vec").select("id", "cls"), "ann-queries")
     query_vectors = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "vec")
 
+    if hashes is None and probes is None:
+        hashes, probes = fitted(classes, query_vectors, k=k, tables=tables, recall=recall, seed=seed)
+    hashes, probes = hashes or 1, probes or 1
+
     bucket = ["dim", "table", "bucket"]
-    shape = "dim int, table int, bucket int, cls string, raw binary"
-    index = classes.select("cls", "vec").mapInArrow(_probes(tables, 1, seed), shape)
-    look = query_vectors.mapInArrow(_probes(tables, probes, seed), shape)
-    # One row for each bucket: 2 * width * tables for each vector length, whatever the number of rows.
+    shape = "dim int, table int, bucket long, cls string, raw binary"
+    index = classes.select("cls", "vec").mapInArrow(_probes(tables, hashes, 1, seed), shape)
+    look = query_vectors.mapInArrow(_probes(tables, hashes, probes, seed), shape)
+    # One row for each bucket that has rows and queries.
     n_rows = index.groupBy(bucket).agg(F.count("*").alias("n_rows"))
     n_queries = look.groupBy(bucket).agg(F.count("*").alias("n_queries"))
     cuts = n_rows.join(n_queries, bucket).selectExpr(*bucket, f"cast(ceil(n_rows / {cell_rows}) as int) as row_cells", f"cast(ceil(n_queries / {cell_queries}) as int) as query_cells")
     cuts = written(cuts, "ann-cuts")
+    cuts = F.broadcast(cuts) if cuts.count() <= FEW else cuts
     own = lambda cells, salt: F.pmod(F.xxhash64("cls", F.lit(salt)), F.col(cells)).cast("int")
-    left = look.join(F.broadcast(cuts), bucket).withColumn("query_cell", own("query_cells", 1)).withColumn("row_cell", F.explode(F.sequence(F.lit(0), F.col("row_cells") - 1)))
-    right = index.join(F.broadcast(cuts), bucket).withColumn("row_cell", own("row_cells", 2)).withColumn("query_cell", F.explode(F.sequence(F.lit(0), F.col("query_cells") - 1)))
+    left = look.join(cuts, bucket).withColumn("query_cell", own("query_cells", 1)).withColumn("row_cell", F.explode(F.sequence(F.lit(0), F.col("row_cells") - 1)))
+    right = index.join(cuts, bucket).withColumn("row_cell", own("row_cells", 2)).withColumn("query_cell", F.explode(F.sequence(F.lit(0), F.col("query_cells") - 1)))
     cell = [*bucket, "row_cell", "query_cell"]
     found = left.select(*cell, "cls", "raw").groupBy(cell).cogroup(right.select(*cell, "cls", "raw").groupBy(cell)).applyInPandas(_rerank(k + 1), "query_cls string, cls string, score double")
 
