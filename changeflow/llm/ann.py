@@ -15,6 +15,8 @@ from changeflow.llm.common import written
 
 #: Rows that may be broadcast.
 FEW = 1_000_000
+#: Rotations and probes of a table that ``fitted`` chooses from, and all buckets of one rotation.
+HASHES, PROBES, ALL = (1, 2, 3), (1, 2, 4, 8, 16, 32, 64, 128, 256), 1 << 20
 
 
 def _width(dim: int) -> int:
@@ -133,55 +135,60 @@ def _exact(asked: list[tuple[str, np.ndarray]], keep: int):
     return run
 
 
-def _first_found(queries: np.ndarray, others: list[np.ndarray], tables: int, hashes: int, most: int, seed: int) -> list[np.ndarray]:
-    """For each query, the place among its probes at which each of its ``others`` is first found in some table; ``most`` if in none."""
-    found = [np.full(len(o), most) for o in others]
-    flat, ends = _scaled(np.concatenate(others)), np.cumsum([len(o) for o in others])
-    for t in range(tables):
-        own = np.split(buckets(flat, t, hashes, 1, seed)[:, 0], ends[:-1])
-        for i, near in enumerate(buckets(_scaled(queries), t, hashes, most, seed)):
+def _judged(asked: dict[str, np.ndarray], others: list[np.ndarray], tables: int, seed: int):
+    """(query_cls, near) to (hashes, probes, n_hit, n_near, n_met, n_rows, n_looked): how many of a query's true neighbours, and of the
+    ``others``, each choice finds."""
+
+    def first_found(q: np.ndarray, own: list[np.ndarray], hashes: int, most: int) -> np.ndarray:
+        """The place among the query's probes at which each vector is first found in some table."""
+        found = np.full(len(own[0]), 2**31)
+        for t in range(tables):
+            near = buckets(_scaled(q[None]), t, hashes, most, seed)[0]
             order = np.argsort(near)
-            at = np.minimum(np.searchsorted(near[order], own[i]), len(near) - 1)
-            hit = near[order][at] == own[i]
-            found[i][hit] = np.minimum(found[i][hit], order[at][hit])
-    return found
+            at = np.minimum(np.searchsorted(near[order], own[t]), len(near) - 1)
+            found = np.where(near[order][at] == own[t], np.minimum(found, order[at]), found)
+        return found
+
+    def own(vectors: np.ndarray, hashes: int) -> list[np.ndarray]:
+        return [buckets(_scaled(vectors), t, hashes, 1, seed)[:, 0] for t in range(tables)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple[int, int], list[np.ndarray]] = {}
+        for pdf in batches:
+            rows = []
+            for name, near in zip(pdf["query_cls"], pdf["near"], strict=True):
+                q, near = asked[name], np.stack(near)
+                axes, alike = 2 * _width(len(q)), [o for o in others if len(o) == len(q)] or [q]
+                for hashes in (h for h in HASHES if axes**h < 2**62):
+                    if (len(q), hashes) not in known:
+                        known[len(q), hashes] = own(np.stack(alike), hashes)
+                    most = axes if hashes == 1 else min(axes**hashes, PROBES[-1])
+                    hit, met = first_found(q, own(near, hashes), hashes, most), first_found(q, known[len(q), hashes], hashes, most)
+                    for probes in (*PROBES, ALL) if hashes == 1 else PROBES:
+                        rows.append((hashes, probes, int((hit < probes).sum()), len(hit), int((met < probes).sum()), len(met), min(probes, axes**hashes)))
+            yield pd.DataFrame(rows, columns=["hashes", "probes", "n_hit", "n_near", "n_met", "n_rows", "n_looked"])
+
+    return run
 
 
-def fitted(classes: DataFrame, queries: DataFrame, *, k: int, tables: int, recall: float, seed: int, sample: int = 128) -> tuple[int, int]:
+def fitted(classes: DataFrame, queries: DataFrame, *, k: int, tables: int, recall: float, seed: int, sample: int = 64) -> tuple[int, int]:
     """(hashes, probes) with the fewest expected candidates that reach ``recall`` on a sample of ``sample`` queries.
 
     The sample's true neighbours come from one pass over all vectors; whether a pair meets depends on its two vectors alone, so every
-    choice is judged without an index. Candidates are estimated on ``8 * sample`` rows. These and ``k * sample`` neighbours are all that
-    the driver holds. One hash with all its buckets probed finds everything, so some choice always reaches ``recall``.
+    choice is judged without an index. Candidates are estimated on ``8 * sample`` rows. The driver holds these two samples and a row for
+    each choice. One hash with all its buckets probed finds everything, so some choice always reaches ``recall``.
     """
-    asked = [(r.cls, np.array(r.vec)) for r in queries.orderBy(F.xxhash64("cls"), "cls").limit(sample).collect()]
+    asked = {r.cls: np.array(r.vec) for r in queries.orderBy(F.xxhash64("cls"), "cls").limit(sample).collect()}
     others = [np.array(r.vec) for r in classes.orderBy(F.xxhash64("cls", F.lit(1)), "cls").limit(8 * sample).collect()]
     by_nearness = Window.partitionBy("query_cls").orderBy("score", "cls")
-    exact = classes.select("cls", "vec").mapInArrow(_exact(asked, k), "query_cls string, cls string, vec array<double>, score double")
-    near: dict[str, list[np.ndarray]] = {}
-    for r in exact.withColumn("at", F.row_number().over(by_nearness)).where(F.col("at") <= k).select("query_cls", "vec").collect():
-        near.setdefault(r.query_cls, []).append(np.array(r.vec))
-    n, best = classes.count(), None
-    for hashes in (1, 2, 3):
-        hits, met, wide = [], [], 1
-        for dim in {len(q) for c, q in asked if c in near}:
-            mine = [(c, q) for c, q in asked if len(q) == dim and c in near]
-            axes = 2 * _width(dim)
-            wide = max(wide, axes)
-            if axes**hashes >= 2**62:
-                continue
-            most, q = axes if hashes == 1 else min(axes**hashes, 256), np.stack([q for _, q in mine])
-            rows = np.stack([o for o in others if len(o) == dim] or [q[0]])
-            for where, pairs in ((hits, [np.stack(near[c]) for c, _ in mine]), (met, [rows] * len(mine))):
-                where += [np.where(f < most, f, 2**31) for f in _first_found(q, pairs, tables, hashes, most, seed)]
-        if not hits:
-            continue
-        hit, meet = np.concatenate(hits), np.concatenate(met)
-        for probes in sorted({*(2**i for i in range(9)), *((wide,) if hashes == 1 else ())}):
-            cost = (meet < probes).mean() * n + probes * tables
-            if (hit < probes).mean() >= recall and (best is None or cost < best[0]):
-                best = (cost, hashes, probes)
-    return best[1:] if best else (1, 1)
+    exact = classes.select("cls", "vec").mapInArrow(_exact(list(asked.items()), k), "query_cls string, cls string, vec array<double>, score double")
+    near = exact.withColumn("at", F.row_number().over(by_nearness)).where(F.col("at") <= k).groupBy("query_cls").agg(F.collect_list("vec").alias("near"))
+    shape = "hashes int, probes int, n_hit long, n_near long, n_met long, n_rows long, n_looked long"
+    choices = near.mapInPandas(_judged(asked, others, tables, seed), shape).groupBy("hashes", "probes")
+    sums = choices.agg(F.sum("n_hit").alias("hit"), F.sum("n_near").alias("near"), F.sum("n_met").alias("met"), F.sum("n_rows").alias("rows"), F.max("n_looked").alias("looked"))
+    n = classes.count()
+    good = [(r.met / r.rows * n + r.looked * tables, r.hashes, r.probes) for r in sums.collect() if r.hit >= recall * r.near]
+    return min(good)[1:] if good else (1, 1)
 
 
 def distances(q: np.ndarray, v: np.ndarray) -> np.ndarray:
