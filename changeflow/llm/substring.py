@@ -101,9 +101,14 @@ def window_hashes(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.nd
     return mix(one), mix(two)
 
 
-def _text_key(words: list[bytes]) -> int:
-    """Signed 64-bit name of a word sequence."""
-    return int(np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=17)], "u8").view("i8")[0])
+def _text_key(words: list[bytes]) -> bytes:
+    """128-bit name of a word sequence."""
+    return xxhash.xxh3_128_digest(b" ".join(words), seed=17)
+
+
+def _keys(packed: bytes) -> np.ndarray:
+    """Packed keys as rows of two numbers."""
+    return np.frombuffer(packed, "u8").reshape(-1, 2)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +118,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = text.as_py().encode("utf-8", "surrogatepass").split()
             rows.append((_text_key(words), len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
         key, n, sha = zip(*rows, strict=True) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "key", "n_words", "sha"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "key", "n_words", "sha"])
 
 
 def _pack(h1: np.ndarray, h2: np.ndarray, keys: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -130,7 +135,7 @@ def _pack(h1: np.ndarray, h2: np.ndarray, keys: np.ndarray, places: np.ndarray,
         rows.append((-1 - int(h1[0] >> np.uint64(7)) % buckets, b"", b"", keys[repeated].tobytes(), places[repeated].astype("i4").tobytes()))
     sent = starts
     p = np.where(many, -1, places[sent]).astype("i4")
-    k, a, b = np.where(many, 0, keys[sent]), h1[sent], h2[sent]
+    k, a, b = np.where(many[:, None], np.uint64(0), keys[sent]), h1[sent], h2[sent]
     bucket = ((a >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(int)  # rises with a
     found, first = np.unique(bucket, return_index=True)
     for c, s, e in zip(found, first, [*first[1:], len(a)], strict=False):
@@ -143,7 +148,7 @@ def _repeats(targets: int):
     """Places of a bucket's entries whose hash is there more than once, packed for each target bucket of texts."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.frombuffer(b"".join(pdf["keys"]), "i8")
+        keys = _keys(b"".join(pdf["keys"]))
         places = np.frombuffer(b"".join(pdf["places"]), "i4")
         if pdf["bucket"].iloc[0] >= 0:
             h1, h2 = np.frombuffer(b"".join(pdf["h1"]), "u8"), np.frombuffer(b"".join(pdf["h2"]), "u8")
@@ -153,7 +158,7 @@ def _repeats(targets: int):
             sizes = np.diff(np.append(starts, len(h1)))
             keep = np.repeat(sizes > 1, sizes) & (places >= 0)
             keys, places = keys[keep], places[keep]
-        target = keys % targets
+        target = (keys[:, 0] % np.uint64(targets)).astype(np.int64)
         order = np.argsort(target, kind="stable")
         keys, places = keys[order], places[order]
         found, first = np.unique(target[order], return_index=True)
@@ -166,19 +171,19 @@ def _repeats(targets: int):
 
 def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
     """(key, places): one row for each text of a target bucket."""
-    keys = np.frombuffer(b"".join(pdf["keys"]), "i8")
+    keys = _keys(b"".join(pdf["keys"]))
     places = np.frombuffer(b"".join(pdf["places"]), "i4")
-    order = np.argsort(keys, kind="stable")
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
     keys, places = keys[order], places[order]
-    found, first = np.unique(keys, return_index=True)
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), (keys[1:] != keys[:-1]).any(axis=1)]))
     ends = np.append(first[1:], len(keys))
-    return pd.DataFrame({"key": found, "places": [places[s:e].tobytes() for s, e in zip(first, ends, strict=False)]})
+    return pd.DataFrame({"key": [keys[s].tobytes() for s in first], "places": [places[s:e].tobytes() for s, e in zip(first, ends, strict=False)]})
 
 
 def _by_text(entries: DataFrame, buckets: int) -> DataFrame:
     """(key, places) of all texts with a repeated hash."""
     repeats = entries.groupBy("bucket").applyInPandas(_repeats(buckets), "target long, keys binary, places binary")
-    return repeats.groupBy("target").applyInPandas(_gathered, "key long, places binary")
+    return repeats.groupBy("target").applyInPandas(_gathered, "key binary, places binary")
 
 
 def _slices(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[list[tuple]]:
@@ -218,13 +223,13 @@ def _symbols(window: int, buckets: int):
                 p = Parse(word_hashes(words))
                 names.append(p.names[p.evidence])
                 places.append(p.starts[p.evidence])
-                keys.append(np.full(len(places[-1]), key, "i8"))
+                keys.append(np.broadcast_to(_keys(key), (len(places[-1]), 2)))
                 if p.blind(window):
                     blind.append(key)
             names = np.concatenate(names)
             yield _pack(names, np.zeros(len(names), "u8"), np.concatenate(keys), np.concatenate(places), buckets)
             if blind:
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - abs(blind[0]) % buckets], pa.int32()), pa.array([b""]), pa.array([b""]), pa.array([np.array(blind, "i8").tobytes()]), pa.array([np.full(len(blind), -2, "i4").tobytes()])], names=["bucket", "h1", "h2", "keys", "places"])
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - int(_keys(blind[0])[0, 0]) % buckets], pa.int32()), pa.array([b""]), pa.array([b""]), pa.array([b"".join(blind)]), pa.array([np.full(len(blind), -2, "i4").tobytes()])], names=["bucket", "h1", "h2", "keys", "places"])
 
     return run
 
@@ -243,7 +248,7 @@ def _windows(window: int, buckets: int):
                 one.append(a)
                 two.append(b)
                 places.append(starts)
-                keys.append(np.full(len(starts), key, "i8"))
+                keys.append(np.broadcast_to(_keys(key), (len(starts), 2)))
             yield _pack(np.concatenate(one), np.concatenate(two), np.concatenate(keys), np.concatenate(places), buckets)
 
     return run
@@ -265,7 +270,7 @@ def _kept(window: int):
                 kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
                 rows.append((key, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept))
             key, n, sha, kept = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array([x.decode("utf-8", "replace") for x in kept], pa.string())], names=["key", "removed", "kept_sha", "kept"])
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array([x.decode("utf-8", "replace") for x in kept], pa.string())], names=["key", "removed", "kept_sha", "kept"])
 
     return run
 
@@ -287,7 +292,7 @@ def repeated_windows(docs: DataFrame, *, window: int = 35) -> tuple[DataFrame, D
     ``key`` names a word sequence. A text that several rows have is judged once.
     """
     docs = doc_texts(docs)
-    sketches = written(docs.mapInArrow(_sketches, "doc_id long, key long, n_words long, sha string"), "substring-sketches")
+    sketches = written(docs.mapInArrow(_sketches, "doc_id long, key binary, n_words long, sha string"), "substring-sketches")
     long = sketches.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
     reps = written(long.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words")).select("doc_id", "key", "copies", "n_words"), "substring-texts")
     words = reps.agg(F.sum("n_words")).first()[0] or 0
@@ -305,7 +310,7 @@ def repeated_windows(docs: DataFrame, *, window: int = 35) -> tuple[DataFrame, D
     repeated = _by_text(texts.mapInArrow(_windows(window, buckets), PACKED), buckets)
     # A text with copies is gone whole; it only had to be there for others.
     hit = written(repeated.join(reps.where("copies = 1").select("doc_id", "key"), "key").select("doc_id", "key", "places"), "substring-hit")
-    kept = _with_places(docs, hit).mapInArrow(_kept(window), "key long, removed long, kept_sha string, kept string")
+    kept = _with_places(docs, hit).mapInArrow(_kept(window), "key binary, removed long, kept_sha string, kept string")
     copies = reps.where("copies > 1").select("key", F.col("n_words").alias("removed"), F.lit(_EMPTY).alias("kept_sha"), F.lit("").alias("kept"))
     return sketches, kept.union(copies)
 
@@ -318,8 +323,8 @@ def deduplicated(docs: DataFrame, *, window: int = 35) -> DataFrame:
 
     Null, empty and blank texts have no words. Texts shorter than a window lose nothing. Repeated
     rows are places of their own, so they remove each other. Rows with a null doc_id take no part
-    and come back whole. An empty table gives no rows. Windows are compared by 128-bit hashes of
-    their words, texts by 64-bit ones.
+    and come back whole. An empty table gives no rows. Windows and texts are compared by 128-bit hashes of
+    their words.
     """
     sketches, lost = repeated_windows(docs, window=window)
     joined = sketches.join(lost.select("key", "removed", "kept_sha"), "key", "left")
