@@ -6,7 +6,8 @@ one's is 1, so equal substrings are cut alike but for a few symbols at their end
 of what they stand for, hence the same in all tasks, and each round is local.
 
 A window can only be repeated if every long symbol within its common core is shared. Windows that
-pass are verified by a 128-bit hash of their words. Both steps shuffle packed arrays by hash.
+pass are verified by 128 bits made of their core's symbols and the few words on either side of it.
+Both steps shuffle packed arrays by name.
 """
 
 from __future__ import annotations
@@ -42,16 +43,35 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), "u8", len(words))
 
 
+class Spans:
+    """Hashes of any spans of a sequence, each from two prefix sums."""
+
+    def __init__(self, x: np.ndarray, base: np.uint64):
+        n = len(x)
+        self.back = np.cumprod(np.concatenate([np.ones(1, "u8"), np.full(n, pow(int(base), -1, 1 << 64), "u8")]))
+        powers = np.cumprod(np.concatenate([np.ones(min(1, n), "u8"), np.full(max(0, n - 1), base)]))
+        self.total = np.concatenate([np.zeros(1, "u8"), np.cumsum(x * powers, dtype="u8")])
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """From a up to b, which isn't below a; the length counts too."""
+        return mix((self.total[b] - self.total[a]) * self.back[a] + (b - a).astype("u8") * _C)
+
+
 class Parse:
-    """Symbols of a text after all rounds, and the core that any two equal windows have in common."""
+    """Symbols of a text after all rounds, and the core that any two equal windows have in common.
+
+    With ``twice``, symbols get a second, independent name, for 128 bits in all.
+    """
 
-    def __init__(self, h: np.ndarray, rounds: int = ROUNDS):
+    def __init__(self, h: np.ndarray, rounds: int = ROUNDS, *, twice: bool = False):
         n = len(h)
         new = np.concatenate([[True], h[1:] != h[:-1]])
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], n)
         run = np.cumsum(new) - 1
         names = mix(h[starts] + (ends - starts).astype("u8") * _A)
+        self.words = (h, mix(h ^ _C)) if twice else (h,)
+        others = mix(self.words[1][starts] + (ends - starts).astype("u8") * _B) if twice else None
         # A run may go on outside of a window, so the core starts and ends beside it.
         self.left = np.append(ends[run], n)
         self.right = np.concatenate([[0], starts[run]])
@@ -69,11 +89,15 @@ class Parse:
             names = names.copy()
             names[:-1][pair] = mix(names[:-1][pair] * _A + names[1:][pair] + np.uint64(r))
             keep = np.concatenate([[True], ~pair])
+            if twice:
+                others = others.copy()
+                others[:-1][pair] = mix(others[:-1][pair] * _B + others[1:][pair] + np.uint64(r))
+                others = others[keep]
             names, starts = names[keep], starts[keep]
             ends = np.append(starts[1:], n)
         at[starts] = np.arange(len(starts))
         at[n] = len(starts)
-        self.n, self.names, self.starts, self.at = n, names, starts, at
+        self.n, self.names, self.others, self.starts, self.at = n, names, others, starts, at
         self.evidence = ends - starts >= LONG
 
     def candidates(self, window: int, shared: np.ndarray) -> np.ndarray:
@@ -90,15 +114,20 @@ class Parse:
         a, b = self.at[self.left[: self.n - window + 1]], self.at[self.right[window:]]
         return bool(((b <= a) | (total[np.maximum(b, a)] == total[a])).any())
 
+    def window_names(self, starts: np.ndarray, window: int) -> list[np.ndarray]:
+        """Two independent 64-bit names of the windows at ``starts``: the words before the core, its symbols, the words after it.
 
-def window_hashes(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of the ``window`` words from each start."""
-    second = mix(h ^ _C)
-    one, two = np.zeros(len(starts), "u8"), np.zeros(len(starts), "u8")
-    for k in range(window):
-        one = one * _A + h[starts + k]
-        two = two * _B + second[starts + k]
-    return mix(one), mix(two)
+        Equal windows have one core, so they get the same names; a window without a core is named by its words.
+        """
+        left, right = self.left[starts], self.right[starts + window]
+        none = right <= left
+        left, right = np.where(none, starts, left), np.where(none, starts, right)
+        found = []
+        for base, words, names in zip((_A, _B), self.words, (self.names, self.others), strict=True):
+            w, s = Spans(words, base), Spans(names, base)
+            core = s.of(np.where(none, 0, self.at[left]), np.where(none, 0, self.at[right]))
+            found.append(mix((w.of(starts, left) * base + core) * base + w.of(right, starts + window)))
+        return found
 
 
 def _text_key(words: list[bytes]) -> bytes:
@@ -235,16 +264,16 @@ def _symbols(window: int, buckets: int):
 
 
 def _windows(window: int, buckets: int):
-    """Texts with the places of shared symbols to packed hashes of candidate windows."""
+    """Texts with the places of shared symbols to packed names of candidate windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches, window):
             one, two, keys, places = [], [], [], []
             for key, words, shared in part:
-                h = word_hashes(words)
                 at = np.frombuffer(shared, "i4")
-                starts = Parse(h).candidates(window, at[at >= 0])
-                a, b = window_hashes(h, starts, window)
+                p = Parse(word_hashes(words), twice=True)
+                starts = p.candidates(window, at[at >= 0])
+                a, b = p.window_names(starts, window)
                 one.append(a)
                 two.append(b)
                 places.append(starts)
@@ -323,8 +352,8 @@ def deduplicated(docs: DataFrame, *, window: int = 35) -> DataFrame:
 
     Null, empty and blank texts have no words. Texts shorter than a window lose nothing. Repeated
     rows are places of their own, so they remove each other. Rows with a null doc_id take no part
-    and come back whole. An empty table gives no rows. Windows and texts are compared by 128-bit hashes of
-    their words.
+    and come back whole. An empty table gives no rows. Windows are compared by 128 bits of
+    their symbols and words, texts by a 128-bit hash of their words.
     """
     sketches, lost = repeated_windows(docs, window=window)
     joined = sketches.join(lost.select("key", "removed", "kept_sha"), "key", "left")

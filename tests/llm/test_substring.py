@@ -63,6 +63,26 @@ def test_equal_windows_share_their_core():
         assert cores[0] == cores[1]
 
 
+def test_names_tell_windows_apart():
+    """Windows of one text and of its copies in other surroundings: names are equal where the words are, and only there."""
+    rng, window = np.random.default_rng(5), 35
+    for vocabulary in (2, 4, 40):
+        base, names = rng.integers(0, vocabulary, 400).tolist(), {}
+        base[100:160] = [1] * 60
+        for _ in range(12):
+            a, n = int(rng.integers(0, 360)), int(rng.integers(30, 120))
+            text = [*rng.integers(0, vocabulary, rng.integers(0, 40)).tolist(), *base[a : a + n], *rng.integers(0, vocabulary, rng.integers(5, 40)).tolist()]
+            if len(text) < window:
+                continue
+            p = Parse(word_hashes([b"%d" % x for x in text]), twice=True)
+            one, two = p.window_names(np.arange(len(text) - window + 1), window)
+            for k, name in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
+                names.setdefault(tuple(text[k : k + window]), set()).add(name)
+        assert all(len(x) == 1 for x in names.values())
+        for half in (0, 1):
+            assert len({next(iter(x))[half] for x in names.values()}) == len(names)
+
+
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(50000))
     rows = [(1, long), (None, long), (2, "a b " * 100), (3, "short"), (3, "short")]
