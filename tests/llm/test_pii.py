@@ -1,6 +1,6 @@
 import re
 
-from changeflow.llm.pii import pseudonymized, rendered, surrogate, surrogates
+from changeflow.llm.pii import GIVEN, pseudonymized, rendered, surrogate, surrogates
 from pyspark.sql import functions as F
 
 KEY = "k"
@@ -54,10 +54,43 @@ def test_clashes_are_drawn_again(spark):
 
 def test_more_entities_than_short_surrogates(spark):
     """4,096 family names of three syllables, 10 ** 6 passwords of six digits."""
-    names = [f"f:{x}a{y}" for x in range(70) for y in range(70)]
-    entities = spark.createDataFrame([("person", n) for n in names], "kind string, name string")
-    made = [r.made for r in surrogates(entities, KEY).collect()]
-    assert len(made) == len(set(made)) == len(names) > 4096 and all(re.fullmatch("f:[A-Z][a-z]+", m) for m in made)
+    names = [f"{x}a{y}" for x in range(70) for y in range(70)]
+    entities = spark.createDataFrame([("family", n) for n in names] + [("given", f"{'mfn'[k % 3]}:{n}") for k, n in enumerate(names)], "kind string, name string")
+    rows = surrogates(entities, KEY).collect()
+    for kind, pattern in {"family": "[A-Z][a-z]+", "given": "[A-Z][a-z]+(?:-[A-Z][a-z]+)*"}.items():
+        made = [r.made if kind == "family" else r.made[2:] for r in rows if r.kind == kind]
+        assert len(made) == len(set(made)) == len(names) > 4096 and all(re.fullmatch(pattern, m) for m in made)
+    assert all(r.made[:2] == r.name[:2] for r in rows if r.kind == "given")
+
+
+def test_persons(spark):
+    """Found by title, by introduction or by a listed given name; what two mentions share, their surrogates share."""
+    rows = [
+        "Ms Ada Smith met Dr. Ada Smith and Ms Smith. Mr Jones left", "my name is Ada Smith, yes", "then Laura Jones and Mr Paul Smith came", "Dr SMITH spoke",
+        "Κυρία Ελένη Παπαδάκη ήρθε", "السيد محمد الهاشمي هنا", "Меня зовут Ольга Петрова.", "Laura went. Paul The", "Smithson and Mrs. are no names; laura jones neither",
+    ]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    got = pseudonymized(docs, key=KEY).orderBy("doc_id").collect()
+    out = [r.text for r in got]
+    assert [r.n_entities for r in got] == [4, 1, 2, 1, 1, 1, 1, 1, 0] and {r.kinds for r in got[:8]} == {"person"}
+    given, family, g2, f2, f3, jones = re.fullmatch(r"Ms (\S+) (\S+) met Dr\. (\S+) (\S+) and Ms (\S+)\. Mr (\S+) left", out[0]).groups()
+    assert given == g2 and family == f2 == f3 and len({given, family, jones, "Ada", "Smith", "Jones"}) == 6
+    assert given.split("-")[0] in GIVEN["f", "latin"]
+    assert out[1] == f"my name is {given} {family}, yes"
+    laura, j2, paul, s2 = re.fullmatch(r"then (\S+) (\S+) and Mr (\S+) (\S+) came", out[2]).groups()
+    assert (j2, s2) == (jones, family) and laura.split("-")[0] in GIVEN["f", "latin"] and paul.split("-")[0] in GIVEN["m", "latin"]
+    assert out[3] == f"Dr {family.upper()} spoke"
+    assert re.fullmatch(r"Κυρία [Α-Ωα-ωά-ώΆ-Ώ-]+ [Α-Ω][α-ω]+ ήρθε", out[4]) and "Παπαδάκη" not in out[4]
+    assert re.fullmatch("السيد [\u0600-\u06ff-]+ [\u0600-\u06ff]+ هنا", out[5]) and "الهاشمي" not in out[5]
+    assert re.fullmatch(r"Меня зовут [А-Яа-я-]+ [А-Я][а-я]+\.", out[6]) and "Петрова" not in out[6]
+    assert out[8] == rows[8]
+
+
+def test_letters_keep_their_script(spark):
+    rows = ["παπα.δάκης@mail.gr", "иван.петров@mail.ru", "محمد@mail.sa", "山田@mail.jp", "김철@mail.kr"]
+    out = [t.split("@")[0] for t in texts(spark, rows)]
+    for made, script, row in zip(out, ["\u0370-\u03ff.", "\u0400-\u04ff.", "\u0600-\u06ff", "\u4e00-\u9fff", "\uac00-\ud7af"], rows, strict=True):
+        assert re.fullmatch(f"[{script}]+", made) and made != row.split("@")[0]
 
 
 def test_crowded_kinds_grow(spark):
