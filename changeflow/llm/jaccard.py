@@ -10,7 +10,7 @@
    A text that keeps enough other hashes does without them. One that doesn't is *crowded*. Crowded texts
    and the few that may link to them are counted anew by all of their shingles. Those with enough rare ones
    meet by these; the others are *dense* (mass near copies): leaders settle them, trees in cells of
-   bounded size what leaders leave.
+   bounded size what leaders leave, and texts between leaders that no link connects.
 """
 
 from __future__ import annotations
@@ -370,10 +370,25 @@ def _verify(percent: int):
     return run
 
 
+def _shared_with(leaders: list[np.ndarray]):
+    """A function that tells how many elements a set shares with each of the leaders."""
+    known, at = np.unique(np.concatenate(leaders), return_inverse=True)
+    has = np.zeros((len(known), len(leaders)), "i8")
+    has[at, np.repeat(np.arange(len(leaders)), [len(x) for x in leaders])] = 1
+
+    def shared(x: np.ndarray) -> np.ndarray:
+        places = np.minimum(np.searchsorted(known, x), len(known) - 1)
+        return has[places[known[places] == x]].sum(axis=0)
+
+    return shared
+
+
 def _led(percent: int):
-    """(pivot, rep, leader, near): of a block's texts, the first leader that each links to, else all leaders within twice that distance.
+    """(pivot, rep, leader, near): of a block's texts, the first leader that each links to, and leaders within twice that distance.
 
     Jaccard distance is a metric: a text farther than that from a leader links to no text that links to the leader.
+    A text without a leader names all leaders near it; one with a leader those that its block doesn't connect with its own.
+    Rows without ``rep`` are links of leaders: with each other, and with texts that link to several, as far as they connect more leaders.
     """
     near = max(0, 2 * percent - 100)
 
@@ -381,12 +396,20 @@ def _led(percent: int):
         out = []
         for pivot, g in pdf.groupby("pivot"):
             sets = {r: np.frombuffer(b, "u8") for r, b in zip(g["rep"], g["hashes"], strict=True)}
-            leaders = sorted(set(g["rep"][g["leads"]]))
-            for r in sorted(set(g["rep"][~g["leads"]])):
-                leader = r if r in leaders else next((x for x in leaders if linked(sets[r], sets[x], percent)), None)
-                out.append((pivot, r, leader, [x for x in leaders if linked(sets[r], sets[x], near)] if leader is None else None))
-            # Leaders among themselves, once for each block.
-            out += [(pivot, None, x, [y]) for i, x in enumerate(leaders) for y in leaders[:i] if linked(sets[x], sets[y], percent)]
+            leaders, texts = (sorted(set(g["rep"][g["leads"] == leads])) for leads in (True, False))
+            sizes = np.array([len(sets[x]) for x in leaders])
+            shared = _shared_with([sets[x] for x in leaders])
+            union, close, own = Union(), {}, {}
+            for r in dict.fromkeys(leaders + texts):
+                inter = shared(sets[r])
+                whole = len(sets[r]) + sizes - inter
+                close[r] = [leaders[k] for k in np.flatnonzero(100 * inter >= near * whole)]
+                hits = [leaders[k] for k in np.flatnonzero(100 * inter >= percent * whole)]
+                own[r] = r if r in leaders else hits[0] if hits else None
+                out += [(pivot, None, x, [r]) for x in hits if union.join(own[r], x)]
+            for r in texts:
+                apart = [x for x in close[r] if own[r] is None or union.find(x) != union.find(own[r])]
+                out.append((pivot, r, own[r], apart))
         return pd.DataFrame(out, columns=["pivot", "rep", "leader", "near"]).astype({"rep": "Int64", "leader": "Int64"})
 
     return run
@@ -395,7 +418,8 @@ def _led(percent: int):
 def _cell_links(percent: int):
     """Links among the texts of each cell of a call that join its components, on whole sets.
 
-    A cell with one side compares all its texts; one with two compares side 0, which is connected already, with side 1.
+    A cell with one side compares all its texts; one with two compares side 0 with side 1. With a leader, side 0 is connected
+    already; with a partner of the leader, side 1 is too, and one link is all there is to find.
     """
 
     def cell(pdf: pd.DataFrame) -> list[tuple[int, int]]:
@@ -410,6 +434,10 @@ def _cell_links(percent: int):
                 return []
             for x in sides[0]:
                 union.join(sides[0][0], x)
+        paired = not pd.isna(pdf["partner"].iloc[0])
+        if paired:
+            for x in sides[1]:
+                union.join(sides[1][0], x)
 
         def look(x, y):
             if x != y and union.find(x) != union.find(y) and linked(sets[x], sets[y], percent):
@@ -439,33 +467,36 @@ def _cell_links(percent: int):
 
         for x, y in traverse(tops[0], tops[0] if one else tops[1], percent, same):
             look(x, y)
+            if paired and links:
+                break
         return links
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = {p for _, g in pdf.groupby(["pivot", "leader", "i", "j"], dropna=False) for p in cell(g)}
+        found = {p for _, g in pdf.groupby(["pivot", "leader", "partner", "i", "j"], dropna=False) for p in cell(g)}
         return pd.DataFrame(sorted(found), columns=["a", "b"])
 
     return run
 
 
 def _grid(rows: DataFrame, others: DataFrame | None = None) -> DataFrame:
-    """``pivot, leader, i, j, side, rep``: cells of about ``CELL`` texts a side that bring all texts of a pivot together.
+    """``pivot, leader, partner, i, j, side, rep``: cells of about ``CELL`` texts a side that bring all texts of a pivot together.
 
-    With ``others``, texts of ``rows`` meet those of ``others`` with the same pivot and leader, and not one another.
+    With ``others``, texts of ``rows`` meet those of ``others`` with the same pivot, leader and partner (if any), and not one another.
     """
     def blocks(df: DataFrame, by: list[str], name: str = "cells") -> DataFrame:
         return df.groupBy(*by).agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
 
-    own = F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int").alias("own")
+    own, none = F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int").alias("own"), F.lit(None).cast("long")
     if others is None:
         cut = rows.join(blocks(rows, ["pivot"]), "pivot").select("pivot", "rep", own, F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other"))
-        return cut.select("pivot", F.lit(None).cast("long").alias("leader"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep")
-    by, out = ["pivot", "leader"], []
+        return cut.select("pivot", none.alias("leader"), none.alias("partner"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep")
+    by, out = ["pivot", "leader", *(c for c in rows.columns if c == "partner")], []
+    partner = F.col("partner") if "partner" in by else none.alias("partner")
     for side, (mine, theirs) in enumerate(((rows, others), (others, rows))):
         cut = mine.select(*by, "rep").join(blocks(mine, by), by).join(blocks(theirs, by, "across"), by)
         cut = cut.select(*by, "rep", own, F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("other"))
         i, j = ("own", "other") if side == 0 else ("other", "own")
-        out.append(cut.select(*by, F.col(i).alias("i"), F.col(j).alias("j"), F.lit(side).alias("side"), "rep"))
+        out.append(cut.select("pivot", "leader", partner, F.col(i).alias("i"), F.col(j).alias("j"), F.lit(side).alias("side"), "rep"))
     return out[0].union(out[1])
 
 
@@ -473,7 +504,7 @@ def _solved(cells: DataFrame, sets: DataFrame, percent: int, name: str) -> DataF
     """Links of all cells; small cells go many to a call."""
     cells = written(cells, f"{name}-cells")
     calls = F.lit(1 + cells.count() // CELL)
-    called = cells.join(sets, "rep").withColumn("call", F.pmod(F.xxhash64("pivot", "leader", "i", "j"), calls))
+    called = cells.join(sets, "rep").withColumn("call", F.pmod(F.xxhash64("pivot", "leader", "partner", "i", "j"), calls))
     return written(called.groupBy("call").applyInPandas(_cell_links(percent), "a long, b long").distinct(), name)
 
 
@@ -482,9 +513,10 @@ def _dense_links(members: DataFrame, sets: DataFrame, percent: int, rounds: int
 
     A group of one cell is solved there. Of a larger one, all texts are held against a few leaders, the closest and some others;
     texts that link to a leader are settled, but for those that come near it without a link. The rest is led again, a few rounds;
-    what then remains meets in cells. So a text is sent once a round, and only texts that no leader settles are multiplied.
+    what then remains meets in cells. So a text is sent once a round, and only texts that no leader settles are multiplied, and
+    those between two leaders that no link connects.
     """
-    links = []
+    links, between = [], []
     left = members
     for turn in range(rounds):
         sized = left.groupBy("pivot").agg(
@@ -496,7 +528,7 @@ def _dense_links(members: DataFrame, sets: DataFrame, percent: int, rounds: int
         links.append(_solved(_grid(small), sets, percent, "jaccard-small"))
         large = sized.where(f"texts > {CELL}").withColumn("blocks", F.ceil(F.col("texts") / CELL).cast("int"))
         if large.isEmpty():
-            return _union(links)
+            return _union(links + _between_leaders(between, links, sets, percent))
         asked = left.join(large.select("pivot", "blocks"), "pivot").select("pivot", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), "rep", F.lit(False).alias("leads"))
         leaders = large.select("pivot", F.explode("leaders").alias("rep"), "blocks").select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", F.lit(True).alias("leads"))
         led = asked.union(leaders).join(sets, "rep").groupBy("pivot", "block").applyInPandas(_led(percent), "pivot long, rep long, leader long, near array<long>")
@@ -504,13 +536,35 @@ def _dense_links(members: DataFrame, sets: DataFrame, percent: int, rounds: int
         links.append(led.where("rep is not null and leader is not null and rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")))
         links.append(led.where("rep is null").select("leader", F.explode("near").alias("other")).distinct().select(F.least("leader", "other").alias("a"), F.greatest("leader", "other").alias("b")))
         settled = led.where("rep is not null and leader is not null").select("pivot", "leader", "rep")
+        between.append(led.where("rep is not null and leader is not null").select("pivot", "leader", F.explode("near").alias("other"), "rep"))
         rest = led.where("rep is not null and leader is null")
         shell = rest.select("pivot", F.explode("near").alias("leader"), "rep")
         if not shell.isEmpty():
             links.append(_solved(_grid(settled, shell), sets, percent, "jaccard-shell"))
         left = written(rest.select("pivot", "rep").join(members, ["pivot", "rep"]).select(*members.columns), "jaccard-left")
     links.append(_solved(_grid(left), sets, percent, "jaccard-rest"))
-    return _union(links)
+    return _union(links + _between_leaders(between, links, sets, percent))
+
+
+def _between_leaders(between: list[DataFrame], links: list[DataFrame], sets: DataFrame, percent: int) -> list[DataFrame]:
+    """Links between texts that two leaders settled, which ``links`` leave apart; ``between`` has texts ``(pivot, leader, other, rep)`` near another leader.
+
+    Of two such texts that link, each is near the leader of the other. Any one link connects the leaders, so cells of the
+    diagonal, which send no text twice, go first; pairs of leaders that stay apart then meet in all other cells.
+    """
+    found: list[DataFrame] = []
+    near = written(_union(between), "jaccard-between") if between else None
+    for cells in ("i = j", "i <> j"):
+        if near is None or near.isEmpty():
+            break
+        ids = components(_union(links + found))
+        component = lambda c: ids.select(F.col("id").alias(c), F.col("component").alias(f"{c}_component"))
+        pairs = near.select("leader", "other").distinct().join(component("leader"), "leader", "left").join(component("other"), "other", "left")
+        apart = pairs.where("coalesce(leader_component, leader) <> coalesce(other_component, other)").select("leader", "other")
+        near = written(near.join(apart, ["leader", "other"]), "jaccard-between")
+        sides = [near.where(c).select("pivot", F.least("leader", "other").alias("leader"), F.greatest("leader", "other").alias("partner"), "rep") for c in ("leader < other", "leader > other")]
+        found.append(_solved(_grid(*sides).where(cells), sets, percent, "jaccard-across"))
+    return found
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

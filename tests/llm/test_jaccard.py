@@ -65,6 +65,37 @@ def test_equals_brute_force(spark, monkeypatch, seed, k, percent, hot):
     assert got == brute(rows, k, percent)
 
 
+def test_links_between_texts_of_different_leaders(spark, monkeypatch):
+    """Chains in which a text links to its neighbours only, so most leaders hang together by texts that they settle; a gap parts two."""
+    monkeypatch.setattr(jaccard, "CELL", 4)
+    starts = [*range(0, 400, 8), *range(408, 600, 8)]
+    windows = [np.arange(s, s + 100, dtype="u8") for s in starts]
+    pairs = [(i, i + 1) for i in range(len(windows) - 1)]
+    assert [p for p in pairs if not jaccard.linked(*(windows[i] for i in p), 85)] == [(49, 50)]
+    sets = spark.createDataFrame([(i, w.tobytes()) for i, w in enumerate(windows)], "rep long, hashes binary")
+    members = spark.createDataFrame([(0, i, 1.0) for i in range(len(windows))], "pivot long, rep long, close double")
+    got = {r.id: r.component for r in components(jaccard._dense_links(members, sets, 85)).collect()}
+    assert got == {i: 0 if i < 50 else 50 for i in range(len(windows))}
+
+
+def test_leaders_meet_in_all_cells(spark, monkeypatch):
+    """Two leaders each, of five texts near the other; of pairs 0 to 7 one text of each links, whichever cells they fall into."""
+    monkeypatch.setattr(jaccard, "CELL", 2)
+    apart = lambda at: np.arange(at, at + 40, dtype="u8")
+    between, sets = [], []
+    for k in range(9):
+        for side in (0, 1):
+            for i in range(1, 6):
+                rep = 100 * k + 10 * side + i
+                between.append((k % 3, 100 * k + 10 * side, 100 * k + 10 * (1 - side), rep))
+                sets.append((rep, apart(10**6 * (k + 1) if i == 3 and k < 8 else 1000 * rep).tobytes()))
+    between = spark.createDataFrame(between, "pivot long, leader long, other long, rep long")
+    known = spark.createDataFrame([(700, 710)], "a long, b long")
+    got = jaccard._between_leaders([between], [known], spark.createDataFrame(sets, "rep long, hashes binary"), 85)
+    assert sorted((r.a, r.b) for f in got for r in f.collect()) == [(100 * k + 3, 100 * k + 13) for k in range(7)]
+    assert len(got) == 2 and got[1].count() > 0
+
+
 def test_long_text_and_null_ids(spark):
     long = " ".join(f"w{i}" for i in range(60000))
     rows = [(1, long), (2, long + " more"), (None, long), (4, "a b c d e"), (4, "a b c d e")]
