@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,10 @@ SEGMENTS = "doc_id long, start long, n_tokens long, crc long, part_at long, part
 SHARD_BYTES = 256 << 20
 #: A task keeps this many encoded words, then starts afresh; it bounds memory, not results.
 MEMO_WORDS = 1_200_000
+#: Encoded words that a worker process keeps for its next task; more are forgotten.
+KEPT_WORDS = 400_000
 #: Texts of about this many characters are encoded together.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 4_000_000
 #: Words of letters encoded in one call.
 LINE_WORDS = 100
 #: Separators of Python's str.split that a tokenizer does not take for white space.
@@ -68,7 +71,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Words of letters are encoded many to a call and cut where a token ends a word.
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = {i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)} if suffix else set()
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         # Added tokens are found before a text is cut into words.
         added = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()} - {""})
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
@@ -96,19 +102,33 @@ class WordEncoder:
         """New words of all the texts are encoded together."""
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        split = [self._words(low) if self.by_word and self._plain(text) and self._without_added(low := text.lower()) else None for text in texts]
-        self._learn(list(set().union(*(w for w in split if w)).difference(self.memo)))
-        known = self.memo.__getitem__
-        for text, words in zip(texts, split, strict=True):
-            yield np.array(self._ids(text), dtype="<u4") if words is None else np.frombuffer(b"".join(map(known, words)), dtype="<u4")
+        apart = [self._apart(low) if self.by_word and self._plain(text) and self._without_added(low := text.lower()) else None for text in texts]
+        # The words of all texts, each a place among the distinct ones.
+        split = pc.ascii_split_whitespace(pa.array([x or "" for x in apart], pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words, places = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        raw = list(map(self.memo.get, words))
+        new = [k for k, x in enumerate(raw) if x is None]
+        self._learn([words[k] for k in new if words[k]])
+        for k in new:
+            raw[k] = self.memo.get(words[k], b"")  # empty: what lies before a blank at a text's beginning
+        sizes = np.fromiter(map(len, raw), "i8", len(raw)) // 4
+        flat, starts = np.frombuffer(b"".join(raw), dtype="<u4"), np.cumsum(sizes) - sizes
+        lengths = sizes[places]
+        ends = np.cumsum(lengths)
+        ids = flat[np.repeat(starts[places] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
+        for text, x, start, end in zip(texts, apart, bounds, bounds[1:], strict=False):
+            yield np.array(self._ids(text), dtype="<u4") if x is None else ids[start:end]
 
     def _without_added(self, text: str) -> bool:
         return self.added is None or self.added.search(text) is None
 
     @staticmethod
-    def _words(text: str) -> list[str]:
-        """What is encoded apart: runs of marks and what lies between; all between blanks where an apostrophe touches another mark."""
-        return (text if "'" in text and _BESIDE.search(text) else _MARKS.sub(r" \g<0> ", text)).split()
+    def _apart(text: str) -> str:
+        """What is encoded apart, between ASCII blanks: runs of marks and what lies between; all between blanks where an apostrophe touches another mark."""
+        text = text.replace("\x85", " ").replace("\xa0", " ")
+        return text if "'" in text and _BESIDE.search(text) else _MARKS.sub(r" \g<0> ", text)
 
     @staticmethod
     def _plain(text: str) -> bool:
@@ -119,18 +139,18 @@ class WordEncoder:
         return not any(c in text for c in _ODD)
 
     def _learn(self, new: list[str]) -> None:
-        memo, odd = self.memo, []
-        plain = [w for w in new if w.isalpha()] if self.ends else []
+        memo, odd, together = self.memo, [], self.ends.any()
+        plain = [w for w in new if w.isalpha()] if together else []
         lines = [plain[at : at + LINE_WORDS] for at in range(0, len(plain), LINE_WORDS)]
         for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
-            ids = e.ids
-            cuts = [k for k, x in enumerate(ids, 1) if x in self.ends]
+            ids = np.array(e.ids, dtype="<u4")
+            cuts = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(cuts) == len(line):
-                raw = array("I", ids).tobytes()
-                memo.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(line, [0, *cuts], cuts, strict=False))
+                raw = ids.tobytes()
+                memo.update((w, raw[a:b]) for w, a, b in zip(line, [0, *cuts], cuts, strict=False))
             else:
                 odd += line
-        odd += [w for w in new if not w.isalpha()] if self.ends else new
+        odd += [w for w in new if not w.isalpha()] if together else new
         for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
             memo[w] = array("I", e.ids).tobytes()
 
@@ -207,7 +227,8 @@ def _encode_shards(path: str, end_id: int, block_ids: int, planes: str, level: i
                     yield cut(block_ids)
         if n_held:
             yield cut(n_held)
-        encoder.memo = {}  # the process goes on to other tasks
+        if len(encoder.memo) > KEPT_WORDS:  # the process goes on to other tasks
+            encoder.memo = {}
 
     return run
 

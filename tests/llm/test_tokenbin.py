@@ -3,7 +3,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from changeflow.llm import tokenbin
 from changeflow.llm.tokenbin import WordEncoder, from_planes, read_ids, read_range, read_tokens, to_planes, write_tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +58,25 @@ def test_added_tokens():
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_are_kept_for_the_next_task(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)  # noqa: N815
+
+    monkeypatch.setattr(tokenbin, "TaskContext", Task)
+    monkeypatch.setattr(tokenbin, "_WORKER", {})
+    batch = pa.record_batch([pa.array([1, 2]), pa.array([" some words, and\xa0more", "Some words"])], names=["doc_id", "text"])
+    run = tokenbin._encode_shards(PATH, 1, 256, "byte", 3)
+    first = [b.to_pylist() for b in run(iter([batch]))]
+    encoder = tokenbin._WORKER[PATH]
+    learnt, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: learnt.extend(new) or learn(new))
+    assert [b.to_pylist() for b in run(iter([batch]))] == first and learnt == []
+    monkeypatch.setattr(tokenbin, "KEPT_WORDS", 3)  # but no more than the bound
+    assert [b.to_pylist() for b in run(iter([batch]))] == first and not encoder.memo
+    assert [b.to_pylist() for b in run(iter([batch]))] == first and len(learnt) == 5
+
+
 def test_ranges_by_the_index(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("changeflow.llm.tokenbin.SHARD_BYTES", 5000)
     write_tokens(spark.createDataFrame(ROWS, "doc_id long, text string, start string"), path := str(tmp_path / "s"), tokenizer=PATH, block_ids=256)
